@@ -53,23 +53,30 @@ def first_label(text: Column, table, form: str = "{}") -> Column:
 WORD = r"\b(?:{})\b"
 
 
+def _edges_in(text: Column, characters: str) -> Column:
+    return F.left(text, F.lit(1)).isin(list(characters)) | F.right(text, F.lit(1)).isin(list(characters))
+
+
 def strip(raw: Column) -> Column:
-    return F.btrim(raw.cast("string"), F.lit(WHITE_SPACE))
+    """Text without white space at its ends; most values have none and are not searched."""
+    text = raw.cast("string")
+    return F.when(_edges_in(text, WHITE_SPACE), F.btrim(text, F.lit(WHITE_SPACE))).otherwise(text)
 
 
-def clean_result(raw: Column) -> Column:
+def tidy(text: Column) -> Column:
     """Trimmed text without full stops after a number or punctuation around a word.
 
     The three replacements can only apply when the first or last character is
     one of the punctuation marks, so all other values skip them.
     """
-    text = strip(raw)
-    marks = list(fixed.STRAY_PUNCTUATION)
-    touched = F.left(text, F.lit(1)).isin(marks) | F.right(text, F.lit(1)).isin(marks)
     cleaned = replace(text, fixed.NUMERIC_TRAILING_DOT, "$1")
     cleaned = replace(cleaned, LEADING_PUNCTUATION, "$1")
     cleaned = replace(cleaned, TRAILING_PUNCTUATION, "$1")
-    return F.when(touched, cleaned).otherwise(text)
+    return F.when(_edges_in(text, fixed.STRAY_PUNCTUATION), cleaned).otherwise(text)
+
+
+def clean_result(raw: Column) -> Column:
+    return tidy(strip(raw))
 
 
 def clean_unit(raw: Column) -> Column:

@@ -1,8 +1,8 @@
 """Typed columns of a value that can be split.
 
-All functions expect the cleaned text and its shape.  They give null for
-shapes they do not apply to; the caller blanks them for values that are not
-split.
+All functions expect the cleaned text and its shape, or the words of it (see
+:func:`words`).  They give null for shapes they do not apply to; the caller
+blanks them for values that are not split.
 """
 
 from __future__ import annotations
@@ -18,6 +18,17 @@ from assayloom.rules import TextRules, either
 _RANGE = rf"^({fixed.NUMBER_SIMPLE})\s*{fixed.RANGE_SEPARATOR}\s*({fixed.NUMBER_SIMPLE})"
 
 
+WORD_SHAPES = [*fixed.QUALITATIVE_SHAPES, "severity_grade", "verbal_operator_numeric"]
+
+
+def words(text: Column, shape: Column) -> Column:
+    """Lower-case text without a gloss, for shapes that are read by words.
+
+    Many label patterns look at it, so make it a column of its own first.
+    """
+    return F.when(shape.isin(WORD_SHAPES), F.lower(without_gloss(text)))
+
+
 def leading_operator(text: Column) -> Column:
     """Comparison token in front of a number, in its normal spelling."""
     token = capture(text, "^" + either(fixed.OPERATOR_TOKENS))
@@ -28,20 +39,20 @@ def leading_operator(text: Column) -> Column:
     return chain.otherwise(token)
 
 
-def verbal_operator(text: Column, rules: TextRules) -> Column:
-    return first_label(F.lower(text), [(w, op) for w, op, _ in rules.verbal_operators], WORD)
+def verbal_operator(plain: Column, rules: TextRules) -> Column:
+    return first_label(plain, [(w, op) for w, op, _ in rules.verbal_operators], WORD)
 
 
-def verbal_label(text: Column, rules: TextRules) -> Column:
-    return first_label(F.lower(text), [(w, label) for w, _, label in rules.verbal_operators], WORD)
+def verbal_label(plain: Column, rules: TextRules) -> Column:
+    return first_label(plain, [(w, label) for w, _, label in rules.verbal_operators], WORD)
 
 
-def operator(text: Column, shape: Column, rules: TextRules) -> Column:
+def operator(text: Column, plain: Column, shape: Column, rules: TextRules) -> Column:
     return (
         F.when(shape == "operator_numeric", leading_operator(text))
         .when(shape.isin(fixed.ORDINAL_SHAPES), F.lit("+"))
-        .when(shape == "verbal_operator_numeric", verbal_operator(text, rules))
-        .when(shape == "qualifier_comparison", capture(without_gloss(text), either(fixed.COMPARISON_TOKENS)))
+        .when(shape == "verbal_operator_numeric", verbal_operator(plain, rules))
+        .when(shape == "qualifier_comparison", capture(plain, either(fixed.COMPARISON_TOKENS)))
     )
 
 
@@ -52,16 +63,16 @@ def measured_number(text: Column, rules: TextRules) -> Column:
     return as_number(bare)
 
 
-def first_number(text: Column) -> Column:
-    return as_number(capture(without_gloss(text), fixed.NUMBER_SIMPLE))
+def first_number(plain: Column) -> Column:
+    return as_number(capture(plain, fixed.NUMBER_SIMPLE))
 
 
-def number(text: Column, shape: Column, rules: TextRules) -> Column:
+def number(text: Column, plain: Column, shape: Column, rules: TextRules) -> Column:
     return (
         F.when(shape == "plain_numeric", as_number(replace(text, r",|\s*%\z")))
         .when(shape.isin("operator_numeric", "verbal_operator_numeric"), measured_number(text, rules))
         .when(shape.isin(fixed.ORDINAL_SHAPES), as_number(capture(text, r"(\d+)\+", 1)))
-        .when(shape.isin("qualifier_numeric", "qualifier_comparison"), first_number(text))
+        .when(shape.isin("qualifier_numeric", "qualifier_comparison"), first_number(plain))
     )
 
 
@@ -79,18 +90,16 @@ def unit(text: Column, shape: Column, recorded: Column) -> Column:
     return F.when(~has_no_unit, F.when(ends_with_percent(text), F.lit(fixed.PERCENT_UNIT)).otherwise(recorded))
 
 
-def value(text: Column, shape: Column, rules: TextRules) -> Column:
-    plain = F.lower(without_gloss(text))
+def value(plain: Column, shape: Column, rules: TextRules) -> Column:
     return F.when(shape == "qualifier_detection", first_label(plain, rules.detection_labels())).when(
         shape.isin(fixed.QUALITATIVE_SHAPES), first_label(plain, rules.qualifier_values)
     )
 
 
-def qualifier(text: Column, shape: Column, rules: TextRules) -> Column:
-    plain = F.lower(without_gloss(text))
+def qualifier(plain: Column, shape: Column, rules: TextRules) -> Column:
     modifiers = rules.modifier_ranges + rules.modifiers
     return (
-        F.when(shape == "severity_grade", first_label(F.lower(text), rules.severity_grades, WORD))
+        F.when(shape == "severity_grade", first_label(plain, rules.severity_grades, WORD))
         .when(shape.isin("qualifier_numeric", "qualifier_detection"), first_label(plain, modifiers, WORD))
-        .when(shape == "verbal_operator_numeric", verbal_label(text, rules))
+        .when(shape == "verbal_operator_numeric", verbal_label(plain, rules))
     )

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from assayloom import fixed_values as fixed
 from assayloom.functions import shape as shapes
 from assayloom.functions import typed
-from assayloom.operators.keys import CODE, EXCLUDED_BY, KEYS, NEW_COLUMNS, RESULT, SPLIT_COLUMNS, UNIT
+from assayloom.operators.keys import CODE, EXCLUDED_BY, KEYS, NAME, NEW_COLUMNS, RESULT, UNIT, source
 from assayloom.operators.units import CANONICAL, UnitRules, canonical_unit, standardise
 from assayloom.rules import LabColumns, TextRules
-from assayloom.operators.keys import source
+
+WORDS = "_lab_words"
 
 
 def value_counts(rows: DataFrame, columns: LabColumns) -> DataFrame:
@@ -40,17 +41,19 @@ def classify(df: DataFrame, rules: TextRules) -> DataFrame:
     shape = F.col("shape")
     df = df.withColumn("shape", shapes.shape(text, rules))
     df = df.withColumn("split_action", shapes.split_action(shape, shapes.percent_fits(text, unit)))
+    df = df.withColumn(WORDS, typed.words(text, shape))
+    plain = F.col(WORDS)
     columns = {
-        "operator": typed.operator(text, shape, rules),
-        "number": typed.number(text, shape, rules),
+        "operator": typed.operator(text, plain, shape, rules),
+        "number": typed.number(text, plain, shape, rules),
         "range_low": typed.range_low(text, shape),
         "range_high": typed.range_high(text, shape),
         "unit": typed.unit(text, shape, unit),
-        "value": typed.value(text, shape, rules),
-        "qualifier": typed.qualifier(text, shape, rules),
+        "value": typed.value(plain, shape, rules),
+        "qualifier": typed.qualifier(plain, shape, rules),
     }
     split = F.col("split_action") == "split"
-    return df.withColumns({name: F.when(split, column) for name, column in columns.items()})
+    return df.withColumns({name: F.when(split, column) for name, column in columns.items()}).drop(WORDS)
 
 
 def decide(df: DataFrame, rules: TextRules, units: UnitRules) -> DataFrame:
@@ -76,10 +79,8 @@ def decision_columns(df: DataFrame) -> DataFrame:
         F.col(RESULT).alias("result"),
         F.col(UNIT).alias("unit_recorded"),
         F.col(CODE).alias("code"),
-        F.col(KEYS[3]).alias("name"),
+        F.col(NAME).alias("name"),
         "n_rows",
         *NEW_COLUMNS,
     )
 
-
-__all__ = ["SPLIT_COLUMNS", "classify", "decide", "decision_columns", "label_excluded", "value_counts"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayloom.functions.text import clean_result, clean_unit, strip
+from assayloom.functions.text import strip, tidy
 from assayloom.rules import LabColumns
 
 RESULT = "_lab_result"
@@ -62,11 +62,12 @@ def protect_source(rows: DataFrame, columns: LabColumns) -> tuple[DataFrame, Lab
 def with_keys(rows: DataFrame, columns: LabColumns) -> DataFrame:
     """Add the cleaned result, unit, code and test name."""
     name = strip(source(columns.name)) if columns.name else F.lit(None).cast("string")
-    return rows.withColumns(
+    trimmed = rows.withColumns(
         {
-            RESULT: clean_result(source(columns.result)),
-            UNIT: clean_unit(source(columns.unit)),
+            RESULT: strip(source(columns.result)),
+            UNIT: strip(source(columns.unit)),
             CODE: source(columns.code).cast("string"),
             NAME: name,
         }
     )
+    return trimmed.withColumns({RESULT: tidy(F.col(RESULT)), UNIT: F.nullif(F.col(UNIT), F.lit(""))})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayloom import fixed_values as fixed
 from assayloom.functions.text import unit_key
 from assayloom.operators import audits
-from assayloom.operators.keys import CODE, STANDARD_COLUMNS, UNIT
+from assayloom.operators.keys import CODE, STANDARD_COLUMNS
 from assayloom.sources import rule_tables
 
 CANONICAL = "_lab_canonical"
@@ -128,5 +128,3 @@ def standardise(df: DataFrame, conversions: DataFrame) -> DataFrame:
     ]
     return joined.withColumns(dict(zip(STANDARD_COLUMNS, columns))).drop(*table.columns)
 
-
-__all__ = ["CANONICAL", "UNIT", "UnitRules", "canonical_unit", "known_spellings", "multiplier", "standardise"]

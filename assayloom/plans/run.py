@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayloom import fixed_values as fixed
-from assayloom.operators.attach import attach, decide_in_place, lookup_table, output_columns
+from assayloom.operators.attach import JOIN_KEYS, attach, decide_in_place, lookup_table, output_columns
 from assayloom.operators.decide import decide, decision_columns, label_excluded, value_counts
 from assayloom.operators.keys import protect_source, with_keys
 from assayloom.operators.near_miss import near_misses
@@ -20,10 +20,7 @@ from assayloom.rules import LabColumns, RuleSet, ScopeRules, TextRules
 from assayloom.sources import sinks
 from assayloom.sources.lab import check_columns, read_lab
 from assayloom.sources.rule_tables import conversion_table, read_conversions, read_synonyms, synonym_table
-from assayloom.sources.store import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, save_table, size_of
-
-#: A lookup pays off when a distinct value stands for at least this many rows.
-ROWS_PER_VALUE = 8
+from assayloom.sources.store import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, save_table
 
 
 class Harmonization:
@@ -79,26 +76,29 @@ class Harmonization:
 
     @cached_property
     def lookup(self) -> DataFrame | None:
-        """Lookup for the join to the rows, or ``None`` when it would not pay or not fit on an executor."""
-        rows = self.decisions.agg(F.sum("n_rows"), F.count(F.lit(1))).first()
-        if rows[0] is None or rows[0] < ROWS_PER_VALUE * rows[1]:
+        """Saved lookup for the join to the rows, or ``None`` when it is too large to send to every executor."""
+        max_rows, max_bytes = self.limits
+        about = self.decisions.agg(F.approx_count_distinct(F.struct(*JOIN_KEYS))).first()[0]
+        if about > max_rows:
             return None
         table = save_table(lookup_table(self.decisions), "lookup")
-        n, size = size_of(table)
-        return table if n <= self.limits[0] and size <= self.limits[1] else None
+        return table if fits_broadcast(table, max_rows, max_bytes) else None
 
     def harmonized(self, keep: Sequence[str] = ()) -> DataFrame:
         """Every source row with the 14 columns.
 
-        The distinct values are few as a rule; then their decisions go to every
-        executor and are looked up.  Otherwise each row is judged in place.
-        Neither way moves a row.
+        As a rule the distinct values are few against the rows; then their
+        decisions go to every executor and are looked up.  Otherwise each row is
+        judged in place.  Neither way moves a row.
         """
-        rows, label = self.keyed_rows(), self.rules.scope.label
-        if self.lookup is not None:
-            out = attach(rows, F.broadcast(self.lookup), label)
-        else:
-            out = decide_in_place(rows, self.rules.text, self.units, label)
+        if self.lookup is None:
+            return self.harmonized_in_place(keep)
+        out = attach(self.keyed_rows(), F.broadcast(self.lookup), self.rules.scope.label)
+        return output_columns(out, keep)
+
+    def harmonized_in_place(self, keep: Sequence[str] = ()) -> DataFrame:
+        """The same rows without a lookup; also right when no decisions are wanted."""
+        out = decide_in_place(self.keyed_rows(), self.rules.text, self.units, self.rules.scope.label)
         return output_columns(out, keep)
 
     # --- reports -------------------------------------------------------------

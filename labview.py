@@ -46,6 +46,13 @@ FROM lineitem
 """
 
 
+COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
+
+
 def lab_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    """The view over ``lineitem``.  A scan with fewer splits than cores is spread over the cores first."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*COLUMNS)
+    cores = spark.sparkContext.defaultParallelism
+    if lineitem.rdd.getNumPartitions() < cores:
+        lineitem = lineitem.repartition(cores, "l_orderkey", "l_partkey", "l_linenumber")
     return spark.sql(LAB_VIEW.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lineitem)
