@@ -3,9 +3,10 @@
 from assayloom.operators.units import UnitRules
 from assayloom.plans.run import Harmonization, harmonize_folder, write_run
 from assayloom.rules import LabColumns, RuleSet, ScopeRules, TextRules
+from assayloom.session import prepare
 from assayloom.sources.lab import read_lab
 
 __all__ = [
     "Harmonization", "LabColumns", "RuleSet", "ScopeRules", "TextRules", "UnitRules",
-    "harmonize_folder", "read_lab", "write_run",
+    "harmonize_folder", "prepare", "read_lab", "write_run",
 ]

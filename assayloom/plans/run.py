@@ -17,6 +17,7 @@ from assayloom.operators.scope import flag_scope, linked_orders
 from assayloom.operators.units import UnitRules
 from assayloom.plans import reports
 from assayloom.rules import LabColumns, RuleSet, ScopeRules, TextRules
+from assayloom.session import prepare
 from assayloom.sources import sinks
 from assayloom.sources.lab import check_columns, read_lab
 from assayloom.sources.rule_tables import conversion_table, read_conversions, read_synonyms, synonym_table
@@ -41,6 +42,7 @@ class Harmonization:
         broadcast_bytes: int = BROADCAST_BYTES,
     ):
         check_columns(rows, rules.columns)
+        prepare(rows.sparkSession)
         self.rules = rules
         self.source, self.columns = protect_source(rows, rules.columns)
         self.units = units or UnitRules.default(rows.sparkSession)
@@ -76,13 +78,19 @@ class Harmonization:
 
     @cached_property
     def lookup(self) -> DataFrame | None:
-        """Saved lookup for the join to the rows, or ``None`` when it is too large to send to every executor."""
-        max_rows, max_bytes = self.limits
+        """Lookup for the join to the rows, or ``None`` when it is too large to send to every executor.
+
+        It is never larger than the decisions it is taken from; only when these
+        are too large, it is saved and measured itself.
+        """
+        table = lookup_table(self.decisions)
+        if fits_broadcast(self.decisions.drop("file", "excluded_by", "name"), *self.limits):
+            return table
         about = self.decisions.agg(F.approx_count_distinct(F.struct(*JOIN_KEYS))).first()[0]
-        if about > max_rows:
+        if about > self.limits[0]:
             return None
-        table = save_table(lookup_table(self.decisions), "lookup")
-        return table if fits_broadcast(table, max_rows, max_bytes) else None
+        table = save_table(table, "lookup")
+        return table if fits_broadcast(table, *self.limits) else None
 
     def harmonized(self, keep: Sequence[str] = ()) -> DataFrame:
         """Every source row with the 14 columns.
@@ -115,7 +123,7 @@ def write_run(
     output: str,
     write_rows: bool = True,
     keep: Sequence[str] = (),
-    compression: str = "zstd",
+    compression: str | None = None,
     clustered: bool = False,
     top_n: int = fixed.REVIEW_TOP_N,
     decisions_format: str = "csv",

@@ -13,23 +13,29 @@ def write_harmonized(
     path: str,
     position: str | None = None,
     clustered: bool = False,
-    compression: str = "zstd",
+    compression: str | None = None,
     file_column: str = FILE_COLUMN,
 ) -> None:
     """One folder per source file with all its rows.
 
-    Rows are written by the task that read them, without a shuffle; a position
-    column states the place of each row in its source file.  ``clustered``
-    also lays the files out in that order: a range shuffle on (file, position),
-    which spreads a large source file over many tasks.
+    Rows are written by the task that read them, without a shuffle and in the
+    order of the scan; a position column states the place of each row in its
+    source file.  ``clustered`` lays the files out in that order: a range
+    shuffle on (file, position), which spreads a large source file over many
+    tasks.
     """
     order = [file_column, position] if position else [file_column]
+    if clustered and not position:
+        raise ValueError("the source order needs a position column")
     if clustered:
-        if not position:
-            raise ValueError("the source order needs a position column")
         rows = rows.repartitionByRange(*order)
-    rows = rows.sortWithinPartitions(*order)
-    rows.write.partitionBy(file_column).option("compression", compression).parquet(path)
+    side_by_side = int(rows.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    if clustered or not side_by_side:
+        rows = rows.sortWithinPartitions(*order)  # the writer would sort by file anyway
+    writer = rows.write.partitionBy(file_column)
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(path)
 
 
 def written_counts(df: DataFrame) -> DataFrame:
