@@ -77,6 +77,13 @@ def keyed(s: Study, *columns: str) -> DataFrame:
     return rows.select(*ROW, *columns)
 
 
+def scope_by_link_shuffled(s: Study) -> DataFrame:
+    """The link rule as it runs when the orders are too many for a broadcast."""
+    flagged = scope.flag_scope(s.source, s.columns, ScopeRules(), s.linked, broadcast=False)
+    rows = flagged.select(*ROW, F.col("CODE_TEST").alias("code"), F.col(keys.EXCLUDED_BY).alias("excluded_by"))
+    return rows.filter(F.col("excluded_by").isNotNull())
+
+
 def scope_by_prefix(s: Study) -> DataFrame:
     excluded = F.coalesce(scope.prefix_test(s.columns, ScopeRules()), F.lit(False))
     return s.source.select(*ROW, F.col("CODE_TEST").alias("code"), excluded.alias("excluded"))
@@ -235,6 +242,7 @@ def queries() -> dict[str, Query]:
         "linked_orders": over_study(lambda s: s.linked.withColumnRenamed(scope.LINK, "link")),
         "scope_by_link": over_study(
             lambda s: keyed(s, "code", "excluded_by").filter(F.col("excluded_by").isNotNull())),
+        "scope_by_link_shuffled": over_study(scope_by_link_shuffled),
         "excluded_counts": over_decisions(reports.excluded_counts),
         "distinct_values": over_decisions(
             lambda d: reports.in_scope(d).select("file", "result", "unit_recorded", "code", "name", "n_rows")),
@@ -260,6 +268,7 @@ def queries() -> dict[str, Query]:
         "convert_units": over_decisions(convert_units),
         "decisions": over_decisions(reports.decisions_table),
         "harmonized_rows": over_study(lambda s: s.harmonized()),
+        "harmonized_in_place": over_study(lambda s: s.harmonized_in_place()),
         "action_counts": over_decisions(reports.action_counts),
         "shape_counts": over_decisions(reports.shape_counts),
         "excluded_label": over_decisions(excluded_label),

@@ -234,6 +234,8 @@ def oracle_sql() -> dict[str, str]:
         "linked_orders": with_ctes("linked") + "SELECT OBS_ID::VARCHAR AS link FROM linked",
         "scope_by_link": with_ctes("scoped")
         + "SELECT file, OBS_ID, LINE_NO, code, excluded_by FROM scoped WHERE excluded_by IS NOT NULL",
+        "scope_by_link_shuffled": with_ctes("scoped")
+        + "SELECT file, OBS_ID, LINE_NO, code, excluded_by FROM scoped WHERE excluded_by IS NOT NULL",
         "excluded_counts": with_ctes("totals") + "SELECT file, excluded_rows, excluded_linked_rows FROM totals",
         "distinct_values": with_ctes("vals") + "SELECT * FROM vals",
         "shape_classify": d + "SELECT result, shape, sum(n_rows)::BIGINT AS n_rows FROM decided GROUP BY ALL",
@@ -278,6 +280,7 @@ FROM (SELECT *, CASE l_linenumber % 5 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THE
           "conversion_status, sum(n_rows)::BIGINT AS n_rows FROM num GROUP BY ALL",
         "decisions": d + f"SELECT file, result, unit_recorded, code, name, n_rows, {NEW} FROM decided",
         "harmonized_rows": harmonized_sql(),
+        "harmonized_in_place": harmonized_sql(),
         "action_counts": d + "SELECT file, split_action, sum(n_rows)::BIGINT AS n_rows FROM decided GROUP BY ALL",
         "shape_counts": d + "SELECT file, shape, sum(n_rows)::BIGINT AS n_rows FROM decided GROUP BY ALL",
         "excluded_label": with_ctes("scoped", "decided")

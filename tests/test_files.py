@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayloom import Harmonization, LabColumns, RuleSet, harmonize_folder, read_lab
+from assayloom.operators.attach import attach
 from assayloom.operators.scope import linked_orders
 from assayloom.plans import reports
 from assayloom.sources import sinks
+from assayloom.sources.store import save_table
 
 NAMES = ["OBS_ID", "CODE_TEST", "SHORT_TEST", "RESULT_VAL", "UNIT"]
 JANUARY = [("1", "MB1", "Culture", "No growth", None), ("1", None, "x", "Clear", None)] + [
@@ -114,7 +116,10 @@ def test_source_order(spark, folder, tmp_path, clustered):
 def test_unclustered_write_moves_no_row(spark, folder):
     rows, columns = read_lab(spark, folder)
     job = Harmonization(rows, RuleSet(columns=columns))
-    for df in (job.harmonized(), job.harmonized_in_place()):
+    assert "BroadcastHashJoin" in plan(job.harmonized())
+    saved = save_table(job.lookup, "lookup")  # the distinct of the lookup itself is a shuffle, of values and not of rows
+    looked_up = attach(job.keyed_rows(), F.broadcast(saved), "microbiology")
+    for df in (looked_up, job.harmonized_in_place()):
         text = plan(df)
         assert "Exchange hashpartitioning" not in text and "Exchange rangepartitioning" not in text
         assert "SortMergeJoin" not in text and "NestedLoop" not in text and "CartesianProduct" not in text

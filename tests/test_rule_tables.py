@@ -75,3 +75,28 @@ BAD = [
 def test_bad_rules_are_refused(spark, synonyms, conversions, message):
     with pytest.raises(ValueError, match=message):
         UnitRules.load(rule_tables.synonym_table(spark, synonyms), rule_tables.conversion_table(spark, conversions))
+
+
+def test_rule_tables_too_large_to_broadcast(spark, lab, monkeypatch):
+    from assayloom import Harmonization
+    from assayloom.operators import units as module
+
+    rows = lab([("f", str(i), "200106", "n", "3.5", u) for i, u in enumerate(["MMOL / L", "mg%", None, "odd"])])
+    small = Harmonization(rows, units=UnitRules.default(spark))
+    monkeypatch.setattr(module, "RULE_ROWS", 1)
+    large = Harmonization(rows, units=UnitRules.default(spark))
+    hinted = [j.harmonized_in_place()._jdf.queryExecution().logical().toString().count("ResolvedHint") for j in (small, large)]
+    assert hinted[0] - hinted[1] == 2
+    got = [sorted(map(str, j.harmonized_in_place().collect())) for j in (small, large)]
+    assert got[0] == got[1]
+
+
+def test_prepare_keeps_settings_of_the_user(spark):
+    from assayloom import prepare
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(name, "3")
+    assert prepare(spark).conf.get(name) == "3"
+    spark.conf.unset(name)
+    assert prepare(spark).conf.get(name) == "16"
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
