@@ -7,6 +7,7 @@ back to the files and not to the source scan.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,14 +26,16 @@ _local_folders: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors can reach.
 
-    It is the one the session names in ``spark.checkpoint.dir``.  Only a local
-    session, where driver and executors are one process, may go without.
+    It is the one the session names in ``spark.checkpoint.dir``.  Only a session
+    on plain ``local[...]``, where driver and executors are one process, may go
+    without, or name a path without a scheme.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
+    one_process = re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")) is not None
+    if named and (one_process or re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", named)):
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors can reach")
+    if not one_process:
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to the URI of a folder that all executors can reach")
     app = spark.conf.get("spark.app.id")
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="assayloom-")
@@ -43,6 +46,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a saved table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Write the table to the shared folder and read it from there."""
     path = new_path(df.sparkSession, name)
