@@ -23,6 +23,15 @@ from assayloom.sources import rule_tables, sinks
 from assayloom.sources.store import new_path
 from labview import lab_rows
 
+try:
+    import corpus_pipeline
+    from assayloom.llm import queries as llm
+    from assayloom.llm import sql as llm_sql
+except ModuleNotFoundError as missing:  # the library also works without that package
+    if missing.name not in ("corpus_pipeline", "assayloom.llm"):
+        raise
+    corpus_pipeline = None
+
 _studies: dict[tuple[str, str], Study] = {}
 
 
@@ -229,6 +238,10 @@ def document_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return lab_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if corpus_pipeline else {})
+
+
+def lab_queries() -> dict[str, Query]:
     return {
         "lab_scan": over_study(lambda s: keyed(s, "result", "unit_recorded", "code", "name", "excluded_by")),
         "normalize_result": over_study(
@@ -294,7 +307,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}
+    return oracles.oracle_sql() | (llm_sql.oracle_sql() if corpus_pipeline else {}) | pipeline
 
 
 def entry(spark: SparkSession) -> DataFrame:
