@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .embeddings import embedding_components
 from .simhash import simhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,5 +20,9 @@ def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_embedding_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_simhash_bk_trees,)}
+    return {f.__name__: f for f in (op3_simhash_bk_trees, op6_embedding_hyperplanes)}
