@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .embeddings import embedding_components
 from .simhash import simhash_components
+from .url_filters import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules of op1.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op1_url_redirect_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -25,4 +40,4 @@ def op6_embedding_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_simhash_bk_trees, op6_embedding_hyperplanes)}
+    return {f.__name__: f for f in (op1_url_redirect_classes, op3_simhash_bk_trees, op6_embedding_hyperplanes)}
