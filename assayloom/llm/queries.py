@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .embeddings import embedding_components
+from .mixing import mix_documents
+from .packing import pack_documents
 from .simhash import simhash_components
 from .url_filters import judge_urls
 
@@ -17,6 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Vocabulary file of op10.
+TOKENIZER = "word_bpe_49k.json"
+
 #: The rules of op1.
 URL_RULES = [
     ("allow", "org/"),
@@ -39,5 +45,14 @@ def op6_embedding_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+def op9_mixing_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents")).drop("pieces")
+
+
+def op10_packing_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_redirect_classes, op3_simhash_bk_trees, op6_embedding_hyperplanes)}
+    return {f.__name__: f for f in (op1_url_redirect_classes, op3_simhash_bk_trees, op6_embedding_hyperplanes,
+                                   op9_mixing_splitting_tree, op10_packing_minimum_bin_slack)}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.store import discard, new_path
@@ -147,3 +147,23 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         then = later.df.select(F.col("node").alias("root"), F.col("root").alias("next"))
         found = found.join(then, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
     return found.withColumnRenamed("root", "component")
+
+
+def running_total(df: DataFrame, group: str, size: str, order: list[str], name: str, bucket_rows: int = 1024) -> DataFrame:
+    """Add ``name``: the sum of ``size`` of the rows before this one in its group, in an order that looks random.
+
+    ``group`` is not null and ``_n`` holds the rows of the group.  A group is cut
+    into buckets of about ``bucket_rows`` rows by a hash of ``order``; sums run
+    within buckets, and the buckets of a group are placed one after another, so a
+    group of any size is spread over many tasks.  Rows that agree in ``order``
+    must agree in everything else too, then reruns agree.
+    """
+    rows = df.withColumn("_turn", F.xxhash64(*order))
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_turn"), F.ceil(F.col("_n") / F.lit(bucket_rows))).cast("int")).drop("_n")
+    totals = rows.groupBy(group, "_bucket").agg(F.sum(size).alias("_total"))
+    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(group, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy(group, "_bucket").orderBy("_turn", *order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    rows = rows.join(totals, [group, "_bucket"])
+    return rows.withColumn(name, F.col("_base") + F.col("_inside")).drop("_turn", "_bucket", "_base", "_inside")
