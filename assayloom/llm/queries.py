@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .embeddings import embedding_components
 from .mixing import mix_documents
 from .packing import pack_documents
+from .secrets import count_of, scan_secrets
+from .secrets import written as written_spans
 from .simhash import simhash_components
+from .syncmers import edit_fingerprints
 from .url_filters import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +41,13 @@ def op1_url_redirect_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_secret_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    counts = [count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    base = F.sha2(written_spans(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, written_spans(F.col("spans")).alias("spans"))
+
+
 def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -45,6 +56,10 @@ def op6_embedding_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"))
 
 
+def op7_fingerprints_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents")).drop("pieces")
 
@@ -54,5 +69,13 @@ def op10_packing_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_redirect_classes, op3_simhash_bk_trees, op6_embedding_hyperplanes,
-                                   op9_mixing_splitting_tree, op10_packing_minimum_bin_slack)}
+    named = [
+        op1_url_redirect_classes,
+        op2_secret_credential_links,
+        op3_simhash_bk_trees,
+        op6_embedding_hyperplanes,
+        op7_fingerprints_closed_syncmers,
+        op9_mixing_splitting_tree,
+        op10_packing_minimum_bin_slack,
+    ]
+    return {f.__name__: f for f in named}
