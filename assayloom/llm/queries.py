@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .embeddings import embedding_components
+from .language import identify
 from .mixing import mix_documents
 from .packing import pack_documents
 from .secrets import count_of, scan_secrets
@@ -60,6 +61,10 @@ def op7_fingerprints_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFr
     return edit_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents")).drop("pieces")
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Query]:
         op3_simhash_bk_trees,
         op6_embedding_hyperplanes,
         op7_fingerprints_closed_syncmers,
+        op8_language_evidence,
         op9_mixing_splitting_tree,
         op10_packing_minimum_bin_slack,
     ]
