@@ -15,6 +15,7 @@ from .packing import pack_documents
 from .secrets import count_of, scan_secrets
 from .secrets import written as written_spans
 from .simhash import simhash_components
+from .substrings import remove_repeated_windows
 from .syncmers import edit_fingerprints
 from .url_filters import judge_urls
 
@@ -53,6 +54,11 @@ def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_substring_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_windows(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_embedding_hyperplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +84,7 @@ def queries() -> dict[str, Query]:
         op1_url_redirect_classes,
         op2_secret_credential_links,
         op3_simhash_bk_trees,
+        op5_substring_super_kmers,
         op6_embedding_hyperplanes,
         op7_fingerprints_closed_syncmers,
         op8_language_evidence,
