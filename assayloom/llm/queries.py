@@ -12,6 +12,7 @@ from .embeddings import embedding_components
 from .language import identify
 from .mixing import mix_documents
 from .packing import pack_documents
+from .scoring import cross_entropy_difference
 from .secrets import count_of, scan_secrets
 from .secrets import written as written_spans
 from .simhash import simhash_components
@@ -54,6 +55,10 @@ def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_substring_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_windows(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -84,6 +89,7 @@ def queries() -> dict[str, Query]:
         op1_url_redirect_classes,
         op2_secret_credential_links,
         op3_simhash_bk_trees,
+        op4_cross_entropy_difference,
         op5_substring_super_kmers,
         op6_embedding_hyperplanes,
         op7_fingerprints_closed_syncmers,
