@@ -148,3 +148,18 @@ def shard_rows(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = mixed.withColumn("piece", F.explode("pieces")).drop("pieces")
     rows = rows.withColumns({"shard": F.col("piece.shard"), "turn": F.col("piece.turn")})
     return rows.repartition(shards, "shard").sortWithinPartitions("shard", "turn", "piece.start")
+
+
+def mixed_texts(mixed: DataFrame, text: str = "text", passes: int = PASSES) -> DataFrame:
+    """One row for each document and pass that takes words of it, with the words taken as ``text``.
+
+    A text that is taken whole stays as it is; of others the words taken are joined by one space.
+    """
+    rows = mixed.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
+    rows = rows.withColumn("_runs", F.array_sort(F.transform(F.filter("pieces", lambda p: p["pass"] == F.col("_pass")), lambda p: F.struct(p["start"], p["words"]))))
+    taken = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    rows = rows.filter(F.size("_runs") > 0)
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    rows = rows.withColumn("_words", F.when(taken < F.col("size"), words))
+    cut = F.array_join(F.flatten(F.transform("_runs", lambda p: F.slice(F.col("_words"), p["start"].cast("int") + 1, p["words"].cast("int")))), " ")
+    return rows.withColumn(text, F.when(F.col("_words").isNull(), F.col(text)).otherwise(cut)).drop("_pass", "_runs", "_words")

@@ -17,7 +17,7 @@ them the blocks find a pair with high probability instead of surely.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -223,30 +223,43 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     """
     source = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"))
     rows = Saved(with_fingerprint(source, "text", "print", shingle, repeats, words), "fingerprints")
-    classes = Saved(rows.df.groupBy("print").agg(F.min("id").alias("first")), "classes")
-    found = connected_components(fingerprint_links(classes.df.select("print"), radius, words, block_bits, tree_rows))
-    roots = classes.df.join(found.withColumnRenamed("node", "print"), "print", "left")
-    roots = Saved(roots.select("print", "first", F.coalesce("component", "print").alias("root")), "roots")
+    roots = component_roots(rows.df, radius, words, block_bits, tree_rows)
     least = roots.df.groupBy("root").agg(F.min("first").alias("least"))
     labels = Saved(roots.df.join(least, "root").select("print", "least"), "labels")
-    classes.discard()
     roots.discard()
     return rows.df.join(labels.df, "print").select(
         F.col("id").alias(id_column), F.lower(F.hex("print")).alias("fingerprint"), F.col("least").alias("component_id"))
 
 
+def component_roots(rows: DataFrame, radius: int, words: int, block_bits: int | None, tree_rows: int = TREE_ROWS) -> Saved:
+    """``print``, ``first`` (smallest id), ``root`` (smallest print reachable) of the fingerprints of rows with ``id`` and ``print``."""
+    classes = Saved(rows.groupBy("print").agg(F.min("id").alias("first")), "classes")
+    found = connected_components(fingerprint_links(classes.df.select("print"), radius, words, block_bits, tree_rows))
+    roots = classes.df.join(found.withColumnRenamed("node", "print"), "print", "left")
+    roots = Saved(roots.select("print", "first", F.coalesce("component", "print").alias("root")), "roots")
+    classes.discard()
+    return roots
+
+
 def radius_for(similarity: float, bits: int) -> int:
     """Differing bits of two sets of equal size at a Jaccard similarity: cosine 2s/(1+s), angle over pi."""
     return math.floor(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = 0.8,
-                    words: int = 8, block_bits: int = 16) -> DataFrame:
-    """Components of texts whose sets of five-word shingles are alike by ``similarity`` or more.
+def drop_near_duplicates(docs: DataFrame, keep: Sequence[str], id_column: str = "doc_id", text: str = "text", similarity: float = 0.8,
+                         words: int = 8, block_bits: int = 16) -> DataFrame:
+    """Columns ``keep`` of one row for each group of texts whose sets of five-word shingles are alike by ``similarity`` or more.
 
-    Uses fingerprints of ``64 * words`` bits.  Columns and special cases as in
-    :func:`simhash_components`.
+    Uses fingerprints of ``64 * words`` bits.  Of a group the row with the
+    smallest id stays, of several such rows one.  Null ids come last.  Null and
+    empty texts are one group.  Other columns are left out; no rows give no rows.
     """
-    return simhash_components(docs, id_column, text, 5, radius_for(similarity, 64 * words), False, words, block_bits)
-
-
+    copies = [column(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)]
+    source = docs.select(F.monotonically_increasing_id().alias("row"), column(docs, id_column).alias("id"), column(docs, text).alias("text"), *copies)
+    rows = Saved(with_fingerprint(source, "text", "print", 5, False, words), "fingerprints")
+    roots = component_roots(rows.df, radius_for(similarity, 64 * words), words, block_bits)
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")
+    chosen = rows.df.select("print", "id", "row").join(roots.df.select("print", "root"), "print").groupBy("root").agg(best)
+    chosen = Saved(chosen.select("best.row"), "chosen")
+    roots.discard()
+    return rows.df.join(chosen.df, "row").select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)])

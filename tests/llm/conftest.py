@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path[:0] = [str(Path(__file__).parent.parent.parent)]
+sys.path[:0] = [str(Path(__file__).parent.parent.parent), str(Path(__file__).parent)]
 
 SF = "/root/testdata/sf0.001"
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from assayloom.llm.simhash import near_duplicates, radius_for, simhash_components, tree_links
+from assayloom.llm.simhash import drop_near_duplicates, radius_for, simhash_components, tree_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,7 +106,10 @@ def test_near_duplicates(documents):
         for p in rng.choice(300, 60, replace=False):
             far[p] = "other"
         rows += [(10 * d, " ".join(words)), (10 * d + 1, " ".join(near)), (10 * d + 2, " ".join(far))]
-    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(rows)).collect()}
-    assert all(got[10 * d] == 10 * d and got[10 * d + 2] == 10 * d + 2 for d in range(30))
-    assert sum(got[10 * d + 1] == 10 * d for d in range(30)) >= 29
+    rows += [(7, None), (3, ""), (5, "same"), (5, "other words"), (None, "same"), (None, "no id"), (None, "no id"), (5, "other words")]
+    got = [r["doc_id"] for r in drop_near_duplicates(documents(rows), ["doc_id"]).collect()]
+    assert {10 * d for d in range(30)} <= set(got) and {10 * d + 2 for d in range(30)} <= set(got)
+    assert sum(10 * d + 1 in got for d in range(30)) <= 1
+    assert sorted(i for i in got if i is not None and 2 < i < 10) == [3, 5, 5] and got.count(None) == 1
+    assert drop_near_duplicates(documents([]), ["doc_id"]).count() == 0
     assert radius_for(0.8, 512) == 77
