@@ -20,21 +20,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Saved, column, running_total
+from .tables import Saved, column, running_total, small_batches
 from .words import slices, spans, words_of
 
 CAPACITY = 2048
 #: Text that is tokenized at a time.
 SLICE_BYTES = 1 << 21
 #: Distinct words whose ids a task remembers before it starts anew.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 250_000
+
+#: ASCII punctuation that begins a new word after an ASCII letter.  The vocabulary cuts there too; the signs
+#: of its special tokens and the apostrophe, which can belong to the letters after it, need no rule of their own.
+_SIGNS = np.zeros(256, bool)
+_SIGNS[[ord(c) for c in "!#$%&()*+,-./:;=?@[]^_`{}~"]] = True
+_LETTERS = np.zeros(256, bool)
+_LETTERS[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = True
 
 
 class WordIds:
     """Ids of words, each distinct word tokenized once.
 
-    The vocabulary cuts texts at white space and nothing it does reaches across
-    it, so the ids of a text are those of its words.
+    The vocabulary cuts texts at white space and between letters and other signs,
+    and nothing it does reaches across, so the ids of a text are those of its words.
     """
 
     def __init__(self, tokenizer):
@@ -50,18 +57,34 @@ class WordIds:
         if len(self.known) > KNOWN_WORDS:
             self.clear()
         known = self.known
-        new = [w for w in words if w not in known]
-        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = len(known)
-            self.ids.extend(coded.ids)
-            self.offsets.append(len(self.ids))
-        places = np.fromiter((known[w] for w in words), np.int64, len(words))
-        return places, np.array(self.offsets, np.int64), np.array(self.ids, np.uint32)
+        places = [known.get(w, -1) for w in words]
+        new = [i for i, p in enumerate(places) if p < 0]
+        if new:
+            for i, coded in zip(new, self.tokenizer.encode_batch_fast([words[i] for i in new], add_special_tokens=False)):
+                places[i] = known[words[i]] = len(known)
+                self.ids.extend(coded.ids)
+                self.offsets.append(len(self.ids))
+        return np.array(places, np.int64), np.array(self.offsets, np.int64), np.array(self.ids, np.uint32)
+
+
+def word_cuts(data: np.ndarray) -> np.ndarray:
+    cut = np.zeros(len(data), bool)
+    cut[1:] = _LETTERS[data[:-1]] & _SIGNS[data[1:]]
+    return cut
+
+
+def lower_letters(data: np.ndarray) -> None:
+    """Turn A to Z into lower case in place, as the vocabulary does: not before a byte that may combine with them."""
+    alone = np.ones(len(data), bool)
+    alone[:-1] = data[1:] < 128
+    data[(data >= 65) & (data <= 90) & alone] += 32
 
 
 def encode(texts: pa.Array, coder: WordIds, end: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, each followed by ``end``, and the offsets of each text."""
-    words = words_of(texts)
+    words = words_of(texts, cuts=word_cuts)
+    if b"<|" not in words.data.tobytes():
+        lower_letters(words.data)
     n = len(words.start)
     offsets = np.append(words.start, len(words.data)).astype(np.int32)
     coded = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets), pa.py_buffer(words.data)]).dictionary_encode()
@@ -112,6 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names)
 
+    small_batches(docs.sparkSession)
     rows = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, {PIECES}" + ", ids array<int>" * with_ids)

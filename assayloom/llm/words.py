@@ -6,7 +6,7 @@ UTF-8 bytes and in code points cut the same words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +44,11 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(texts: pa.Array, lower_ascii: bool = False) -> Words:
-    """Cut texts into words; ``lower_ascii`` turns A to Z into lower case."""
+def words_of(texts: pa.Array, lower_ascii: bool = False, cuts: Callable[[np.ndarray], np.ndarray] | None = None) -> Words:
+    """Cut texts into words; ``lower_ascii`` turns A to Z into lower case.
+
+    ``cuts`` may mark further bytes where a new word begins.
+    """
     data, offsets = utf8(texts)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     solid = ~blank
@@ -55,6 +58,10 @@ def words_of(texts: pa.Array, lower_ascii: bool = False) -> Words:
     begins[1:] &= blank[:-1] | fresh[1:-1]
     ends = solid.copy()
     ends[:-1] &= blank[1:] | fresh[1:-1]
+    if cuts is not None:
+        more = cuts(data) & solid & ~begins
+        begins |= more
+        ends[:-1] |= more[1:]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, offsets)
     length = end - start
