@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Saved, column
+from .tables import Saved, column, small_batches
 from .words import slices, words_of
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -136,6 +136,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
     - Ties go to the language that stands first in the list.
     - Repeated rows stay repeated; columns of ``keep`` must differ from those added, others are left out; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     classes = [*languages, UNKNOWN]
     none = F.lit(None).cast("string")
     spoken = F.lower(F.regexp_extract(column(docs, declared).cast("string"), r"^\s*([A-Za-z]+)", 1)) if declared else none
@@ -145,7 +146,7 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
         column(docs, text).alias("text"), F.when(known > 0, (known - 1).cast("int")).alias("known"),
         F.when(spoken.isNull(), F.lit(len(classes))).when(known > 0, (known - 1).cast("int")).otherwise(F.lit(len(languages))).alias("declared"),
         site.alias("host"), (F.regexp_extract(site, r"\.([^.]+)$", 1) if suffix is None else F.coalesce(suffix, F.lit(""))).alias("suffix"),
-        *[column(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)])
+        *[column(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep) if c != text])
     model = fit(given, languages)
     start = _logs([(1 - UNKNOWN_SHARE) / len(languages)] * len(languages) + [UNKNOWN_SHARE])
 
@@ -184,4 +185,4 @@ def identify(docs: DataFrame, text: str = "text", declared: str | None = "lang",
     rows = rows.withColumns({"language": best(F.col("fused")), "probability": F.array_max("fused"), "text_language": best(F.col("alone"))})
     accepted = (F.col("trigrams") > 0) & (F.col("language") != UNKNOWN) & (F.col("probability") >= SURE)
     return rows.select(
-        *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)], "language", "probability", "text_language", accepted.alias("accepted"))
+        *[F.col("text" if c == text else f"keep_{i}").alias(c) for i, c in enumerate(keep)], "language", "probability", "text_language", accepted.alias("accepted"))

@@ -32,6 +32,8 @@ BLOCK_WORDS, MOST_BLOCKS = 4096, 200_000_000
 #: A smaller source is cut into about this many blocks.
 BLOCKS = 1024
 SHARDS = 64
+#: The plan of more sources than these is joined by a shuffle.
+BROADCAST_SOURCES = 20_000
 SEED = 97
 
 
@@ -112,12 +114,17 @@ def mix_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     rows = docs.select(column(docs, id_column).alias("_id"), column(docs, source).alias("_name"), size.alias("size"), *kept)
     light = Saved(rows.select("_id", "_name", "size"), "sizes")
     sources = light.df.groupBy(F.col("_name").alias("source")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()
-    plan = docs.sparkSession.createDataFrame(plan_sources(sources, weights, share, passes, shards, seed), PLAN)
-    if not keep:
-        rows = light.df
-    placed = rows.join(plan.select("_place", "_source", "_n"), F.col("_name").eqNullSafe(F.col("_source"))).drop("_name", "_source")
-    placed = running_total(placed, "_place", "size", ["_id", "size"], "_before")
-    placed = placed.join(plan.drop("_source", "_n"), "_place")
+    known = plan_sources(sources, weights, share, passes, shards, seed)
+    plan = docs.sparkSession.createDataFrame(known, PLAN)
+    if len(known) <= BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
+
+    def of_source(some: DataFrame) -> DataFrame:
+        return some.join(plan, F.col("_name").eqNullSafe(F.col("_source"))).drop("_name", "_source")
+
+    few = of_source(light.df).select("_place", "_n", "_id", "size")
+    placed = of_source(rows) if keep else of_source(light.df)
+    placed = running_total(placed, "_place", "size", ["_id", "size"], "_before", light=few)
 
     first = F.expr("_before div _length")
     last = F.expr("(_before + size - 1) div _length")

@@ -12,6 +12,7 @@ grows with the number of parts, never with pairs.  All of it is DataFrame work.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,14 +124,18 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("do
     - No rows give no rows.
     """
     given = docs.select(column(docs, text).alias("_text"), *[column(docs, c) for c in keep])
-    found = find_parts(given, "_text").select(F.monotonically_increasing_id().alias("_key"), *keep, "base", "parts")
+    # only texts with a match of some pattern are saved, the others have nothing to report
+    some = reduce(lambda a, b: a | b, [F.coalesce(F.col("_text"), F.lit("")).rlike(p) for p in (ASSIGN, ACCESS, HEX, IDENTIFIER, LONG_SECRET, ENDPOINT)])
+    found = find_parts(given.filter(some), "_text").select(F.monotonically_increasing_id().alias("_key"), *keep, "base", "parts")
     rows = Saved(found, "parts")
+    none = F.array().cast(SPAN)
+    clean = given.filter(~some).select(*keep, none.alias("base"), none.alias("spans"))
     parts = rows.df.filter("parts is not null").select(F.col("_key").alias("key"), F.inline("parts"))
     linked = linked_parts(parts, reach).groupBy("key").agg(
         F.collect_list(F.struct("start", "rank", "end", F.lit(None).cast("int").alias("value"))).alias("more"))
     linked = Saved(linked.withColumnRenamed("key", "_key"), "linked")
     spans = F.sort_array(F.concat("base", F.coalesce("more", F.array().cast(SPAN))))
-    return rows.df.join(linked.df, "_key", "left").select(*keep, "base", spans.alias("spans"))
+    return rows.df.join(linked.df, "_key", "left").select(*keep, "base", spans.alias("spans")).unionByName(clean)
 
 
 def count_of(spans: Column, kind: str) -> Column:

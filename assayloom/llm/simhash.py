@@ -22,10 +22,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import Saved, block_pairs, column, connected_components, in_groups
+from .tables import Saved, block_pairs, column, connected_components, in_groups, release_shuffles, small_batches
 from .words import Words, mix, slices, words_of
 
 #: Text that is turned into numbers at a time.
@@ -94,6 +94,7 @@ def with_fingerprint(docs: DataFrame, text: str, name: str, shingle: int, repeat
                 data = pa.array([x.tobytes() for x in prints], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), data], [*rest, name])
 
+    small_batches(docs.sparkSession)
     schema = docs.drop(text).withColumn(name, F.lit(None).cast("binary")).schema
     return docs.mapInArrow(run, schema)
 
@@ -195,7 +196,7 @@ def fingerprint_links(prints: DataFrame, radius: int, words: int = 1, block_bits
 
     keys = F.array(*[F.xxhash64(F.lit(i), block(*b)) for i, b in enumerate(bounds)])
     rows = prints.select("print", F.explode(keys).alias("shard"))
-    dealt = block_pairs(rows, "shard", F.col("print"), tree_rows, "shards")
+    dealt = block_pairs(rows, "shard", F.col("print"), tree_rows, "shards", single=True)
 
     def link(table: pa.Table) -> pa.RecordBatch | None:
         table = table.combine_chunks()
@@ -254,12 +255,21 @@ def drop_near_duplicates(docs: DataFrame, keep: Sequence[str], id_column: str =
     smallest id stays, of several such rows one.  Null ids come last.  Null and
     empty texts are one group.  Other columns are left out; no rows give no rows.
     """
-    copies = [column(docs, c).alias(f"keep_{i}") for i, c in enumerate(keep)]
-    source = docs.select(F.monotonically_increasing_id().alias("row"), column(docs, id_column).alias("id"), column(docs, text).alias("text"), *copies)
+    body, id_ = column(docs, text), column(docs, id_column)
+    digest = F.coalesce(F.md5(body), F.lit(""))
+    source = docs.select(id_.alias("id"), digest.alias("digest"), body.alias("text"))
     rows = Saved(with_fingerprint(source, "text", "print", 5, False, words), "fingerprints")
     roots = component_roots(rows.df, radius_for(similarity, 64 * words), words, block_bits)
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("best")
-    chosen = rows.df.select("print", "id", "row").join(roots.df.select("print", "root"), "print").groupBy("root").agg(best)
-    chosen = Saved(chosen.select("best.row"), "chosen")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("best")
+    chosen = rows.df.join(roots.df.select("print", "root"), "print").groupBy("root").agg(best)
+    chosen = Saved(chosen.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")), "chosen")
+    rows.discard()
     roots.discard()
-    return rows.df.join(chosen.df, "row").select(*[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)])
+    release_shuffles(docs.sparkSession)
+    # texts move once, to the chosen ones; rows with the same id and text are alike but for other columns, the first one stays
+    full = docs.select(id_.alias("_id"), digest.alias("_digest"), *[column(docs, c).alias(f"_keep_{i}") for i, c in enumerate(keep)])
+    same = (full["_digest"] == chosen.df["_digest"]) & full["_id"].eqNullSafe(chosen.df["_id"])
+    order = [f"_keep_{i}" for i in range(len(keep))]
+    twins = Window.partitionBy("_digest", "_id").orderBy(*order)
+    left = full.join(chosen.df, same, "left_semi").withColumn("_nth", F.row_number().over(twins)).filter("_nth = 1")
+    return left.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)])

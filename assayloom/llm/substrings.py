@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Saved, column, release_shuffles, whole_groups
+from .tables import Saved, column, release_shuffles, small_batches, whole_groups
 from .words import MIX_1, Words, mix, slices, spans, words_of
 
 WINDOW = 35
@@ -143,6 +143,7 @@ def frequent_minimisers(texts: DataFrame, window: int) -> np.ndarray:
     total = counts.df.agg(F.sum("n")).first()[0] or 0
     rows = counts.df.filter(F.col("n") > max(LEAST_FREQUENT, total * FREQUENT)).select("key").collect()
     counts.discard()
+    release_shuffles(texts.sparkSession)
     return np.sort(np.array([r["key"] for r in rows], np.int64).view(np.uint64))
 
 
@@ -295,6 +296,7 @@ def remove_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: st
     - Other columns are left out; no rows give no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     body = F.coalesce(column(docs, text), F.lit(""))
     texts = docs.select(body.alias("text"))
     frequent = frequent_minimisers(texts, window)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,14 +38,17 @@ def release_shuffles(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(1.5)  # the files go in the background
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that the table does not have."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+#: Rows that Spark hands to Python at a time, if the session does not say otherwise: whole texts can be long.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of batches of texts on both sides of the Python worker."""
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -88,18 +92,19 @@ def in_groups(df: DataFrame, key: str, work: Callable[[pa.Table], pa.RecordBatch
     return df.repartition(key).sortWithinPartitions(key, *(order or [])).mapInArrow(run, schema)
 
 
-def block_pairs(df: DataFrame, bucket: str, spread: Column, limit: int, name: str) -> DataFrame:
-    """Rows of buckets with two rows or more, dealt to groups of at most about ``2 * limit`` rows.
+def block_pairs(df: DataFrame, bucket: str, spread: Column, limit: int, name: str, single: bool = False) -> DataFrame:
+    """Rows of buckets, dealt to groups of at most about ``2 * limit`` rows.
 
     A bucket within the limit is one group.  A larger one is cut into blocks by
     ``spread``, and each pair of blocks is a group, so any two rows of a bucket
-    meet in a group whatever its size.  Adds ``_group`` (long), ``_block``
+    meet in a group whatever its size.  Without ``single``, buckets of one row
+    are left out; with it, only buckets beyond the limit are looked up.  Adds ``_group`` (long), ``_block``
     (the block of the row), ``_low`` and ``_high`` (the blocks of the group).
     """
     saved = Saved(df.withColumn("_spread", spread), name)
-    sizes = saved.df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    blocks = F.ceil(F.col("_n") / F.lit(limit)).cast("int")
-    rows = saved.df.join(sizes, bucket).withColumn("_blocks", blocks)
+    sizes = saved.df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > (limit if single else 1))
+    blocks = F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(limit)).cast("int")
+    rows = saved.df.join(sizes, bucket, "left" if single else "inner").withColumn("_blocks", blocks)
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_spread"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rows = rows.withColumns({"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")})
@@ -149,18 +154,23 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return found.withColumnRenamed("root", "component")
 
 
-def running_total(df: DataFrame, group: str, size: str, order: list[str], name: str, bucket_rows: int = 1024) -> DataFrame:
+def running_total(df: DataFrame, group: str, size: str, order: list[str], name: str, bucket_rows: int = 1024,
+                  light: DataFrame | None = None) -> DataFrame:
     """Add ``name``: the sum of ``size`` of the rows before this one in its group, in an order that looks random.
 
     ``group`` is not null and ``_n`` holds the rows of the group.  A group is cut
     into buckets of about ``bucket_rows`` rows by a hash of ``order``; sums run
     within buckets, and the buckets of a group are placed one after another, so a
     group of any size is spread over many tasks.  Rows that agree in ``order``
-    must agree in everything else too, then reruns agree.
+    must agree in everything else too, then reruns agree.  ``light`` may hold the
+    same rows without other columns, for a first pass over sizes alone.
     """
-    rows = df.withColumn("_turn", F.xxhash64(*order))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_turn"), F.ceil(F.col("_n") / F.lit(bucket_rows))).cast("int")).drop("_n")
-    totals = rows.groupBy(group, "_bucket").agg(F.sum(size).alias("_total"))
+    def dealt(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_turn", F.xxhash64(*order))
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64("_turn"), F.ceil(F.col("_n") / F.lit(bucket_rows))).cast("int")).drop("_n")
+
+    rows = dealt(df)
+    totals = dealt(df if light is None else light).groupBy(group, "_bucket").agg(F.sum(size).alias("_total"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(group, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy(group, "_bucket").orderBy("_turn", *order).rowsBetween(Window.unboundedPreceding, -1)
