@@ -71,8 +71,8 @@ def spelling_clashes(conversions: DataFrame, synonyms: DataFrame) -> DataFrame:
     )
 
 
-def refuse(problems: DataFrame, what: str, show: int = 20) -> None:
-    """Raise when there is a problem; names the first few."""
-    found = problems.limit(show).collect()
+def refuse(problems: DataFrame, what: str) -> None:
+    """Raise when there is a problem; names all of them, rule tables are small."""
+    found = problems.collect()
     if found:
-        raise ValueError(f"{what} refused:\n  " + "\n  ".join(str(row.asDict()) for row in found))
+        raise ValueError(f"{what} refused, {len(found)} problems:\n  " + "\n  ".join(str(row.asDict()) for row in found))

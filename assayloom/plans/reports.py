@@ -109,7 +109,8 @@ def distribution_comparison(decisions: DataFrame, written: DataFrame | None = No
     if written is None:
         facts = facts.withColumn("rows_written", F.lit(None).cast("long"))
     else:
-        facts = facts.join(written.select("file", "rows_written"), "file", "left")
+        # a file without any written row has lost them all
+        facts = facts.join(written.select("file", "rows_written"), "file", "left").fillna(0, ["rows_written"])
     return facts.select(
         "file",
         "total_rows",
