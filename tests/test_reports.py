@@ -102,3 +102,10 @@ def test_unit_reports(job, units):
     book = {r["code"]: tuple(r)[1:] for r in reports.code_dictionary(d).collect()}
     assert book["200106"] == ("LDL | LDL chol", "mg/dL | mmol/L | odd", "mg/dL | mmol/L | odd", 10, 2)
     assert book["Y"] == ("a | b", "u1 | u2 | u3", "u1 | u2", 3, 2)
+
+
+def test_lost_file_fails_the_row_check(spark, job):
+    decisions = job([("a", "1", "C", None, "5", "g"), ("b", "2", "C", None, "6", "g")]).decisions
+    written = spark.createDataFrame([("a", 1)], "file string, rows_written long")
+    got = {r["file"]: (r["rows_written"], r["row_count_match"]) for r in reports.distribution_comparison(decisions, written).collect()}
+    assert got == {"a": (1, True), "b": (0, False)}
