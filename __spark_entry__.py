@@ -38,10 +38,10 @@ _studies: dict[tuple[str, str], Study] = {}
 class Study(Harmonization):
     """The lab view at one scale."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, sf_dir: str, **limits: int):
+        self.spark, self.sf_dir = spark, sf_dir
         self.rows = lab_rows(spark, sf_dir)
-        super().__init__(self.rows)
+        super().__init__(self.rows, **limits)
         self._written: DataFrame | None = None
 
     @property
@@ -49,8 +49,9 @@ class Study(Harmonization):
         """Rows per file of the harmonized output, read back after writing."""
         if self._written is None:
             path = new_path(self.spark, "harmonized")
-            sinks.write_harmonized(self.harmonized(), path)
-            back = self.spark.read.option("basePath", path).parquet(path)
+            rows = self.harmonized()
+            sinks.write_harmonized(rows, path)
+            back = self.spark.read.schema(rows.schema).option("basePath", path).parquet(path)
             self._written = sinks.written_counts(back)
         return self._written
 
@@ -93,6 +94,11 @@ def scope_by_link_shuffled(s: Study) -> DataFrame:
     return rows.filter(F.col("excluded_by").isNotNull())
 
 
+def scope_by_link_filtered(s: Study) -> DataFrame:
+    """The link rule as it runs with a filter of the orders, which moves no row."""
+    return keyed(Study(s.spark, s.sf_dir, broadcast_rows=0), "code", "excluded_by").filter(F.col("excluded_by").isNotNull())
+
+
 def scope_by_prefix(s: Study) -> DataFrame:
     excluded = F.coalesce(scope.prefix_test(s.columns, ScopeRules()), F.lit(False))
     return s.source.select(*ROW, F.col("CODE_TEST").alias("code"), excluded.alias("excluded"))
@@ -256,6 +262,7 @@ def lab_queries() -> dict[str, Query]:
         "scope_by_link": over_study(
             lambda s: keyed(s, "code", "excluded_by").filter(F.col("excluded_by").isNotNull())),
         "scope_by_link_shuffled": over_study(scope_by_link_shuffled),
+        "scope_by_link_filtered": over_study(scope_by_link_filtered),
         "excluded_counts": over_decisions(reports.excluded_counts),
         "distinct_values": over_decisions(
             lambda d: reports.in_scope(d).select("file", "result", "unit_recorded", "code", "name", "n_rows")),

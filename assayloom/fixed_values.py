@@ -274,3 +274,10 @@ UNIT_CONVERSIONS = [
     ("H119", "mmol/L", "mg/dL", "4", 0.1, 180.0),
     ("Lac", "mg/dL", "mmol/L", "5", 10.0, 90.078),
 ]
+
+# Names of the columns that are added to the rows.
+SPLIT_COLUMNS = [
+    "shape", "split_action", "operator", "number", "range_low", "range_high",
+    "unit", "value", "qualifier",
+]
+STANDARD_COLUMNS = ["number_std", "range_low_std", "range_high_std", "unit_std", "conversion_status"]

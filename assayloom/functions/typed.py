@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from assayloom import fixed_values as fixed
 from assayloom.functions.shape import ends_with_percent
 from assayloom.functions.text import WORD, as_number, capture, first_label, matches, replace, without_gloss
-from assayloom.rules import TextRules, either
+from assayloom.rules import COMPARISONS, OPERATORS, TextRules
 
 _RANGE = rf"^({fixed.NUMBER_SIMPLE})\s*{fixed.RANGE_SEPARATOR}\s*({fixed.NUMBER_SIMPLE})"
 
@@ -31,7 +31,7 @@ def words(text: Column, shape: Column) -> Column:
 
 def leading_operator(text: Column) -> Column:
     """Comparison token in front of a number, in its normal spelling."""
-    token = capture(text, "^" + either(fixed.OPERATOR_TOKENS))
+    token = capture(text, f"^(?:{OPERATORS})")
     chain = None
     for spelling, normal in fixed.OPERATOR_SPELLINGS:
         hit = matches(token, spelling)
@@ -52,13 +52,13 @@ def operator(text: Column, plain: Column, shape: Column, rules: TextRules) -> Co
         F.when(shape == "operator_numeric", leading_operator(text))
         .when(shape.isin(fixed.ORDINAL_SHAPES), F.lit("+"))
         .when(shape == "verbal_operator_numeric", verbal_operator(plain, rules))
-        .when(shape == "qualifier_comparison", capture(plain, either(fixed.COMPARISON_TOKENS)))
+        .when(shape == "qualifier_comparison", capture(plain, f"(?:{COMPARISONS})"))
     )
 
 
 def measured_number(text: Column, rules: TextRules) -> Column:
     """The number of a value that is one number with or without an operator."""
-    lead = either(fixed.OPERATOR_TOKENS + [word for word, _, _ in rules.verbal_operators])
+    lead = "(?:%s)" % "|".join([OPERATORS, *(word for word, _, _ in rules.verbal_operators)])
     bare = replace(text, rf"(?i)^{lead}\s*|,|\s*%\z")
     return as_number(bare)
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayloom import fixed_values as fixed
 from assayloom.functions.text import strip, tidy
 from assayloom.rules import LabColumns
 
@@ -19,12 +20,7 @@ NAME = "_lab_name"
 EXCLUDED_BY = "_lab_excluded_by"
 KEYS = [RESULT, UNIT, CODE, NAME]
 
-SPLIT_COLUMNS = [
-    "shape", "split_action", "operator", "number", "range_low", "range_high",
-    "unit", "value", "qualifier",
-]
-STANDARD_COLUMNS = ["number_std", "range_low_std", "range_high_std", "unit_std", "conversion_status"]
-NEW_COLUMNS = SPLIT_COLUMNS + STANDARD_COLUMNS
+NEW_COLUMNS = fixed.SPLIT_COLUMNS + fixed.STANDARD_COLUMNS
 
 
 def source(name: str):

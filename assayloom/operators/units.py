@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assayloom import fixed_values as fixed
 from assayloom.functions.text import unit_key
 from assayloom.operators import audits
-from assayloom.operators.keys import CODE, STANDARD_COLUMNS
+from assayloom.operators.keys import CODE
 from assayloom.sources import rule_tables
 
 CANONICAL = "_lab_canonical"
@@ -126,5 +126,5 @@ def standardise(df: DataFrame, conversions: DataFrame) -> DataFrame:
         F.when(convert, F.col("_lab_reg_target")).otherwise(F.col("unit")),
         F.when(convert, F.lit("convert")).when(numeric, F.lit("not_registered")),
     ]
-    return joined.withColumns(dict(zip(STANDARD_COLUMNS, columns))).drop(*table.columns)
+    return joined.withColumns(dict(zip(fixed.STANDARD_COLUMNS, columns))).drop(*table.columns)
 

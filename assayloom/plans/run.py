@@ -13,7 +13,7 @@ from assayloom.operators.attach import JOIN_KEYS, attach, decide_in_place, looku
 from assayloom.operators.decide import decide, decision_columns, label_excluded, value_counts
 from assayloom.operators.keys import protect_source, with_keys
 from assayloom.operators.near_miss import near_misses
-from assayloom.operators.scope import flag_scope, linked_orders
+from assayloom.operators.scope import OrderFilter, flag_scope, linked_orders, order_words, wrong_hits
 from assayloom.operators.units import UnitRules
 from assayloom.plans import reports
 from assayloom.rules import LabColumns, RuleSet, ScopeRules, TextRules
@@ -47,6 +47,7 @@ class Harmonization:
         self.source, self.columns = protect_source(rows, rules.columns)
         self.units = units or UnitRules.default(rows.sparkSession)
         self.limits = (broadcast_rows, broadcast_bytes)
+        self.others_limits = (BROADCAST_ROWS, BROADCAST_BYTES)
 
     @cached_property
     def linked(self) -> DataFrame | None:
@@ -59,9 +60,18 @@ class Harmonization:
     def _broadcast_linked(self) -> bool:
         return self.linked is not None and fits_broadcast(self.linked, *self.limits)
 
+    @cached_property
+    def order_filter(self) -> OrderFilter | None:
+        """Orders that are too many to send: a filter of bounded size and the few other orders that pass it."""
+        if self.linked is None or self._broadcast_linked:
+            return None
+        words = save_table(order_words(self.linked, self.linked.count()), "order-words")
+        others = save_table(wrong_hits(self.source, self.columns, self.linked, words), "other-orders")
+        return OrderFilter(words, others) if fits_broadcast(others, *self.others_limits) else None
+
     def keyed_rows(self) -> DataFrame:
         """Source rows with cleaned keys and the reason of exclusion."""
-        flagged = flag_scope(self.source, self.columns, self.rules.scope, self.linked, self._broadcast_linked)
+        flagged = flag_scope(self.source, self.columns, self.rules.scope, self.linked, self._broadcast_linked, self.order_filter)
         return with_keys(flagged, self.columns)
 
     def value_counts(self) -> DataFrame:
@@ -143,8 +153,8 @@ def write_run(
             columns += [c for c in (job.columns.file, position) if c and c not in columns]
         rows = job.harmonized(columns or ())
         sinks.write_harmonized(rows, path, position, clustered, compression, job.columns.file)
-        back = spark.read.option("basePath", path).parquet(path)
-        written = sinks.written_counts(back.withColumn("file", F.col(job.columns.file).cast("string")))
+        back = spark.read.schema(rows.schema).option("basePath", path).parquet(path)
+        written = sinks.written_counts(back.withColumn("file", F.col(job.columns.file)))
     decisions = job.decisions
     sinks.write_decisions(reports.decisions_table(decisions), f"{output}/decisions", decisions_format)
     top = reports.review_top(decisions, top_n)
@@ -170,13 +180,12 @@ def harmonize_folder(
     scope: ScopeRules = ScopeRules(),
     synonyms_csv: str | None = None,
     conversions_csv: str | None = None,
-    schema_per_file: bool = False,
     **options,
 ) -> DataFrame:
     """Read lab files, harmonize them and write everything; see :func:`write_run` for the options."""
     synonyms = read_synonyms(spark, synonyms_csv) if synonyms_csv else synonym_table(spark)
     conversions = read_conversions(spark, conversions_csv) if conversions_csv else conversion_table(spark)
     units = UnitRules.load(synonyms, conversions)
-    rows, columns = read_lab(spark, folder, files, pattern, columns, schema_per_file)
+    rows, columns = read_lab(spark, folder, files, pattern, columns)
     job = Harmonization(rows, RuleSet(text, scope, columns), units)
     return write_run(job, output, **options)

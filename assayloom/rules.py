@@ -10,18 +10,17 @@ either end.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from assayloom import fixed_values as fixed
 
 
-def either(parts: Iterable[str]) -> str:
-    return "(?:" + "|".join(parts) + ")"
+#: Signs that compare, as alternatives.
+OPERATORS, COMPARISONS = "|".join(fixed.OPERATOR_TOKENS), "|".join(fixed.COMPARISON_TOKENS)
 
 
 def _words(table) -> str:
-    return either(row[0] for row in table)
+    return "(?:%s)" % "|".join(row[0] for row in table)
 
 
 @dataclass(frozen=True)
@@ -42,9 +41,9 @@ class TextRules:
 
     def shape_patterns(self) -> dict[str, str]:
         """Shape -> pattern, in the order in which they are tried."""
-        number = either([fixed.NUMBER_CORE, fixed.NUMBER_LEADING_DOT])
+        number = f"(?:{fixed.NUMBER_CORE}|{fixed.NUMBER_LEADING_DOT})"
         simple = fixed.NUMBER_SIMPLE
-        compare = either(fixed.COMPARISON_TOKENS)
+        compare, sign = f"(?:{COMPARISONS})", f"(?:{OPERATORS})"
         quality = _words(self.qualifier_values)
         modifier = _words(self.modifiers)
         any_modifier = _words(self.modifier_ranges + self.modifiers)
@@ -52,7 +51,7 @@ class TextRules:
         percent = r"\s*%?"
         return {
             "plain_numeric": rf"^{number}{percent}\z",
-            "operator_numeric": rf"^{either(fixed.OPERATOR_TOKENS)}\s*{number}{percent}\z",
+            "operator_numeric": rf"^{sign}\s*{number}{percent}\z",
             "numeric_range": rf"^{simple}\s*{fixed.RANGE_SEPARATOR}\s*{simple}{percent}\z",
             "ordinal_plus": r"^\d+\+\z",
             "verbal_operator_numeric": rf"(?i)^{_words(self.verbal_operators)}\s+{simple}{percent}\z",

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from assayloom.operators.keys import source
 from assayloom.rules import LabColumns
 
 POSITION = "source_row"
+#: Footers that are read side by side.
+FOOTERS_AT_ONCE = 16
 
 
 def read_lab(
@@ -20,44 +27,77 @@ def read_lab(
     files: Sequence[str] = (),
     pattern: str = "*.parquet*",
     columns: LabColumns = LabColumns(),
-    schema_per_file: bool = False,
 ) -> tuple[DataFrame, LabColumns]:
     """All rows of the listed files, or of every file that matches the pattern.
 
     Each row gets the name of its file and its position in it.  A listed file
-    that does not exist is an error.  The default is one scan over all files,
-    which need one schema; with ``schema_per_file`` the files may differ (other
-    types or missing columns): key columns are read as text and the schemas are
-    united by name.
+    that does not exist is an error, and so is a file without a column that has
+    a role.  Files may differ in their other columns and in types: files of one
+    schema are one scan, the scans are united by name, and where types differ
+    the column is read as text.  One footer is read per file.
 
     Returns the rows and the column roles with the position filled in.
     """
-    if files:
-        paths = [f"{folder.rstrip('/')}/{name}" for name in files]
-    else:
-        paths = [folder]
-
-    def scan(*where: str) -> DataFrame:
-        source = spark.read if files else spark.read.option("pathGlobFilter", pattern)
-        return source.parquet(*where).select(
-            "*",
-            F.col("_metadata.file_name").alias(columns.file),
-            F.col("_metadata.row_index").alias(POSITION),
-        )
-
-    if schema_per_file:
-        listed = spark.read.option("pathGlobFilter", pattern).parquet(folder).inputFiles() if not files else paths
-        parts = [_keys_as_text(scan(path), columns) for path in sorted(listed)]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    else:
-        rows = scan(*paths)
-    check_columns(rows, columns)
+    base = folder.rstrip("/")
+    paths = [f"{base}/{name}" for name in files] if files else list_files(spark, folder, pattern)
+    if not paths:
+        raise ValueError(f"no file in {folder} matches {pattern}")
+    # folders such as year=2020 are columns too
+    options = {"basePath": base} if not files and any("=" in p.split("/", 3)[-1] for p in paths) else {}
+    schemas = footers(spark, paths, options)
+    check_files(schemas, columns)
+
+    groups: dict[str, list[str]] = {}
+    for path, schema in schemas.items():
+        groups.setdefault(schema.json(), []).append(path)
+    types: dict[str, set[str]] = {}
+    for schema in map(StructType.fromJson, map(json.loads, groups)):
+        for field in schema:
+            types.setdefault(field.name, set()).add(field.dataType.simpleString())
+    as_text = {name: source(name).cast("string") for name, kinds in types.items() if len(kinds) > 1}
+
+    def scan(schema: StructType, where: list[str]) -> DataFrame:
+        rows = spark.read.options(**options).schema(schema).parquet(*map(literal_path, where))
+        rows = rows.select("*", file_name().alias(columns.file), F.col("_metadata.row_index").alias(POSITION))
+        return rows.withColumns({name: text for name, text in as_text.items() if name in schema.names})
+
+    parts = [scan(StructType.fromJson(json.loads(schema)), where) for schema, where in groups.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return rows, replace(columns, position=POSITION)
 
 
-def _keys_as_text(rows: DataFrame, columns: LabColumns) -> DataFrame:
-    roles = {columns.code, columns.result, columns.unit, columns.name, columns.link}
-    return rows.withColumns({name: F.col(f"`{name}`").cast("string") for name in rows.columns if name in roles})
+def file_name() -> Column:
+    """Name of the file of a row; Spark gives it as in a URL, but with plus signs as they are."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths of the files; only their names are read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    return sorted(r["path"] for r in listed.collect())
+
+
+def literal_path(path: str) -> str:
+    """The path with its glob signs taken literally."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def footers(spark: SparkSession, paths: Sequence[str], options: dict[str, str]) -> dict[str, StructType]:
+    """Schema of each file."""
+    def schema(path: str) -> StructType:
+        return spark.read.options(**options).parquet(literal_path(path)).schema
+
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        return dict(zip(paths, pool.map(schema, paths)))
+
+
+def check_files(schemas: dict[str, StructType], columns: LabColumns) -> None:
+    """Refuse files in which a configured column is missing; names all of them."""
+    needed = [name for name in (columns.code, columns.result, columns.unit, columns.name, columns.link) if name]
+    lacking = {path: [name for name in needed if name not in schema.names] for path, schema in schemas.items()}
+    found = [f"{path}: {names}" for path, names in lacking.items() if names]
+    if found:
+        raise ValueError(f"columns not in {len(found)} of {len(schemas)} lab files:\n  " + "\n  ".join(found))
 
 
 def check_columns(rows: DataFrame, columns: LabColumns) -> None:

@@ -236,6 +236,8 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT file, OBS_ID, LINE_NO, code, excluded_by FROM scoped WHERE excluded_by IS NOT NULL",
         "scope_by_link_shuffled": with_ctes("scoped")
         + "SELECT file, OBS_ID, LINE_NO, code, excluded_by FROM scoped WHERE excluded_by IS NOT NULL",
+        "scope_by_link_filtered": with_ctes("scoped")
+        + "SELECT file, OBS_ID, LINE_NO, code, excluded_by FROM scoped WHERE excluded_by IS NOT NULL",
         "excluded_counts": with_ctes("totals") + "SELECT file, excluded_rows, excluded_linked_rows FROM totals",
         "distinct_values": with_ctes("vals") + "SELECT * FROM vals",
         "shape_classify": d + "SELECT result, shape, sum(n_rows)::BIGINT AS n_rows FROM decided GROUP BY ALL",

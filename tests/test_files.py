@@ -56,7 +56,7 @@ def test_files_with_different_schemas(spark, tmp_path):
     spark.createDataFrame([("2", "200106", 6.0, "mmol/L", "n")], "OBS_ID string, CODE_TEST string, RESULT_VAL double, UNIT string, SHORT_TEST string") \
         .coalesce(1).write.parquet(str(tmp_path / "b.parquet"))
     parts = [p.split(str(tmp_path) + "/")[1] for p in glob.glob(str(tmp_path / "*" / "part-*"))]
-    rows, columns = read_lab(spark, str(tmp_path), parts, schema_per_file=True)
+    rows, columns = read_lab(spark, str(tmp_path), parts)
     out = Harmonization(rows, RuleSet(columns=columns)).harmonized().orderBy("OBS_ID").collect()
     assert [(r["OBS_ID"], r["number"], r["extra"]) for r in out] == [("1", 5.0, 1), ("2", 6.0, None)]
 
@@ -134,3 +134,71 @@ def test_decisions_are_written_by_rows(spark, folder, tmp_path):
     for part in sorted(glob.glob(f"{path}/file=lab_01*/part-*")):
         got += [int(r["n_rows"]) for r in rows_of(part)]
     assert got == sorted(got, reverse=True) and len(got) == decisions.filter(F.col("file").like("lab_01%")).count()
+
+
+def lab_file(path, rows, names):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=pa.schema([(n, pa.string()) for n in names])), path)
+
+
+def test_files_may_differ_and_have_any_name(spark, tmp_path):
+    folder = tmp_path / "sp ace" / "[x]"
+    lab_file(folder / "lab 1+%.parquet", [("1", "A", "n", "5", "g")], NAMES)
+    lab_file(folder / "lab{2}.parquet", [("2", "A", "n", "6", "g", "east")], [*NAMES, "ward"])
+    rows, columns = read_lab(spark, str(folder).replace("[", "\\[").replace("]", "\\]"))
+    assert columns.position in rows.columns
+    assert sorted((r["file"], r["OBS_ID"], r["ward"]) for r in rows.collect()) == [("lab 1+%.parquet", "1", None), ("lab{2}.parquet", "2", "east")]
+
+
+@pytest.mark.parametrize("gone", ["OBS_ID", "RESULT_VAL"])
+def test_every_file_needs_the_columns_with_a_role(spark, tmp_path, gone):
+    lab_file(tmp_path / "a.parquet", [("1", "A", "n", "5", "g")], NAMES)
+    for name in "bc":
+        lab_file(tmp_path / f"{name}.parquet", [("2", "A", "n", "g")], [n for n in NAMES if n != gone])
+    with pytest.raises(ValueError, match=rf"2 of 3 lab files(?s:.)*b\.parquet(?s:.)*{gone}(?s:.)*c\.parquet"):
+        read_lab(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="no file"):
+        read_lab(spark, str(tmp_path), pattern="*.csv")
+
+
+def test_file_names_that_look_like_numbers(spark, tmp_path):
+    from assayloom.plans.run import write_run
+
+    rows = spark.createDataFrame([("0011", "1", "A", "n", "5", "g"), ("0012", "2", "A", "n", "6", "g")], ["file", *NAMES])
+    got = write_run(Harmonization(rows), str(tmp_path / "out")).collect()
+    assert sorted((r["file"], r["rows_written"], r["row_count_match"]) for r in got) == [("0011", 1, True), ("0012", 1, True)]
+
+
+def test_filter_of_orders_moves_no_row(spark, tmp_path):
+    """One linked order owns a third of all rows; most orders are not linked, some pass the filter by chance."""
+    from assayloom.operators import scope
+
+    many = [(str(i % 9000) if i % 3 else "7", "MB1" if i % 30 == 0 or i % 9000 > 6000 else "A" if i % 3 else None, "n", "5", "g") for i in range(12000)]
+    many += [(None, "A", "n", "5", "g"), (None, "MB2", "n", "5", "g"), ("", "A", "n", "5", "g")]
+    lab_file(tmp_path / "a.parquet", many, NAMES)
+    rows, columns = read_lab(spark, str(tmp_path))
+    sent = Harmonization(rows, RuleSet(columns=columns))
+    kept = Harmonization(rows, RuleSet(columns=columns), broadcast_rows=0)
+    assert kept.order_filter is not None and kept.order_filter.others.count() > 0
+    flags = lambda j: [(r["source_row"], r["_lab_excluded_by"]) for r in j.keyed_rows().collect()]
+    assert flags(kept) == sorted(flags(kept)) == sorted(flags(sent), key=lambda r: r[0])
+    text = plan(kept.keyed_rows())
+    assert "SortMergeJoin" not in text and "hashpartitioning" not in text
+    nothing = scope.linked_orders(rows.limit(0), columns)
+    assert scope.wrong_hits(rows, columns, nothing, scope.order_words(nothing, 0)).count() == 0
+
+
+def test_shuffled_link_rule_shuffles(spark, folder):
+    from assayloom import ScopeRules
+    from assayloom.operators import scope
+
+    rows, columns = read_lab(spark, folder)
+    job = Harmonization(rows, RuleSet(columns=columns))
+    shuffled = scope.flag_scope(job.source, columns, ScopeRules(), job.linked)
+    shuffled.collect()
+    assert "SortMergeJoin" in plan(shuffled)
+    look = ["file", "source_row", "_lab_excluded_by"]
+    assert sorted(map(tuple, shuffled.select(*look).collect()), key=str) == sorted(map(tuple, job.keyed_rows().select(*look).collect()), key=str)
