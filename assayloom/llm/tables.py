@@ -34,9 +34,12 @@ def release_shuffles(spark: SparkSession) -> None:
     """Let the driver forget finished jobs, so that their shuffle files go.
 
     Spark removes shuffle files when the driver's objects are collected as
-    garbage, which may come long after the last reader ended.
+    garbage, which may come long after the last reader ended.  Objects that Python
+    drops are reported to the driver's JVM in the background, so it collects only
+    after a pause.
     """
     gc.collect()
+    time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
     time.sleep(1.5)  # the files go in the background
 
