@@ -12,6 +12,12 @@ Minimisers that are frequent in the corpus, as those of a passage in many
 documents, are ranked behind all others.  Windows that reach out of such a
 passage then go to the buckets of their own words; those inside it are equal and
 are combined before the shuffle.
+
+A packed string whose minimiser begins no other one holds no repeated window and
+need not travel.  Minimisers are counted over all texts first; those that come
+again are marked in a bit table of fixed size that goes to every task.  Two
+minimisers may share a bit, then a string travels without need; none that is
+needed stays behind.
 """
 
 from __future__ import annotations
@@ -24,16 +30,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Saved, column, release_shuffles, small_batches, whole_groups
+from .tables import Saved, column, in_groups, release_shuffles, small_batches, whole_groups
 from .words import MIX_1, Words, mix, slices, spans, words_of
 
 WINDOW = 35
-#: Words of the runs that are candidates for the minimiser.
-MER = 4
+#: Words of the runs that are candidates for the minimiser; half a window at most.
+MER = 8
 #: Windows of a packed string.
 MOST_WINDOWS = 256
 #: A minimiser is frequent if it begins more than this share of all packed strings, so at most 100,000 are.
 FREQUENT, LEAST_FREQUENT = 1e-5, 500
+#: Size of the table of minimisers that come again, 16 MB for any corpus: 64-bit words, and words of one row on the way to the driver.
+TABLE_WORDS, ROW_WORDS = 1 << 21, 1 << 13
 SLICE_BYTES = 1 << 21
 #: Packed strings that are sorted together.
 BUCKET_ROWS = 12_000
@@ -76,15 +84,16 @@ class Runs:
 
     def __init__(self, words: Words, window: int, frequent: np.ndarray):
         empty = np.zeros(0, np.int64)
-        self.key = self.at = self.count = self.doc = empty
+        self.key, self.at, self.count, self.doc = np.zeros(0, np.uint64), empty, empty, empty
         self.again = np.zeros(0, bool)
-        width = window - MER + 1
+        mer = min(MER, window // 2 + 1)
+        width = window - mer + 1
         if len(words.start) < window:
             return
         hashes = _word_hashes(words)
-        mers = np.zeros(len(hashes) - MER + 1, np.uint64)
-        for i in range(MER):
-            mers = mers * _BASE + hashes[i : len(hashes) - MER + 1 + i]
+        mers = np.zeros(len(hashes) - mer + 1, np.uint64)
+        for i in range(mer):
+            mers = mers * _BASE + hashes[i : len(hashes) - mer + 1 + i]
         mers = mix(mers) & ~_LAST
         if len(frequent):
             mers = np.where(np.isin(mers, frequent), mers | _LAST, mers)
@@ -113,6 +122,11 @@ class Runs:
         np.cumsum(n, out=hits[1:])
         self.again = total[hits[1:]] - total[hits[:-1]] > 1
 
+    def only(self, use: np.ndarray) -> Runs:
+        """Keep some of the runs."""
+        self.key, self.at, self.count, self.doc, self.again = self.key[use], self.at[use], self.count[use], self.doc[use], self.again[use]
+        return self
+
     def packed(self, words: Words, window: int) -> pa.Array:
         """The words of each run as one string."""
         begin, end = words.start[self.at], words.end[self.at + self.count + window - 2]
@@ -130,31 +144,63 @@ def _signed(key: np.ndarray) -> pa.Array:
     return pa.array(key.view(np.int64))
 
 
-def frequent_minimisers(texts: DataFrame, window: int) -> np.ndarray:
-    """Minimisers of very many packed strings; a bounded number, see ``FREQUENT``."""
+def minimisers_again(texts: DataFrame, window: int, frequent: np.ndarray) -> Saved:
+    """``key`` and ``n``: minimisers of more than one packed string, or that stand in one more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                key, n = np.unique(Runs(words_of(part["text"]), window, np.zeros(0, np.uint64)).key, return_counts=True)
+                runs = Runs(words_of(part["text"]), window, frequent)
+                key, at = np.unique(runs.key, return_inverse=True)
+                n = np.bincount(at, weights=1 + runs.again, minlength=len(key)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([_signed(key), pa.array(n)], ["key", "n"])
 
-    counts = Saved(texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") > 1), "minimisers")
-    total = counts.df.agg(F.sum("n")).first()[0] or 0
-    rows = counts.df.filter(F.col("n") > max(LEAST_FREQUENT, total * FREQUENT)).select("key").collect()
-    counts.discard()
-    release_shuffles(texts.sparkSession)
+    counts = texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return Saved(counts.filter(F.col("n") > 1), "minimisers")
+
+
+def frequent_minimisers(counts: DataFrame) -> np.ndarray:
+    """Minimisers of very many packed strings; a bounded number, see ``FREQUENT``."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.filter(F.col("n") > max(LEAST_FREQUENT, total * FREQUENT)).select("key").collect()
     return np.sort(np.array([r["key"] for r in rows], np.int64).view(np.uint64))
 
 
-def packed_runs(texts: DataFrame, window: int, frequent: np.ndarray) -> DataFrame:
-    """``key``, ``run`` (packed string), ``n`` (how often, added up within a part of a task), ``again``."""
+def bit_table(keys: DataFrame) -> np.ndarray:
+    """A bit for each ``key``; the driver gets at most ``TABLE_WORDS`` words, in rows of ``ROW_WORDS``."""
+    size = TABLE_WORDS.bit_length() - 1
+    word = F.col("key").bitwiseAND(F.lit(TABLE_WORDS - 1))
+    bit = F.shiftright("key", size).bitwiseAND(F.lit(63)).cast("int")
+    words = keys.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).withColumn("row", F.expr(f"word div {ROW_WORDS}"))
+
+    def fill(table: pa.Table) -> pa.RecordBatch:
+        row, at = np.unique(table["row"].to_numpy(), return_inverse=True)
+        dense = np.zeros((len(row), ROW_WORDS), np.int64)
+        dense[at, table["word"].to_numpy() % ROW_WORDS] = table["bits"].to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(row), pa.array([r.tobytes() for r in dense], pa.binary())], ["row", "dense"])
+
+    out = np.zeros((TABLE_WORDS // ROW_WORDS, ROW_WORDS), np.uint64)
+    for r in in_groups(words, "row", fill, "row long, dense binary", ROW_WORDS).collect():
+        out[r["row"]] = np.frombuffer(r["dense"], np.uint64)
+    return out.reshape(-1)
+
+
+def marked(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key is set."""
+    size = np.uint64(len(table).bit_length() - 1)
+    return (table[key & np.uint64(len(table) - 1)] >> ((key >> size) & np.uint64(63))) & np.uint64(1) == 1
+
+
+def packed_runs(texts: DataFrame, window: int, frequent: np.ndarray, table: np.ndarray) -> DataFrame:
+    """``key`` with a bit in ``table``, ``run`` (packed string), ``n`` (how often, added up within a part of a task), ``again``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 words = words_of(part["text"])
                 runs = Runs(words, window, frequent)
+                runs = runs.only(marked(table, runs.key))
                 packed = runs.packed(words, window).dictionary_encode()
                 code = packed.indices.to_numpy()
                 _, first = np.unique(code, return_index=True)
@@ -241,7 +287,7 @@ def repeated_parts(runs: DataFrame, window: int, bucket_rows: int = BUCKET_ROWS)
     return dealt.mapInArrow(run, "digest binary, low long, high long")
 
 
-def run_places(texts: DataFrame, window: int, frequent: np.ndarray) -> DataFrame:
+def run_places(texts: DataFrame, window: int, frequent: np.ndarray, table: np.ndarray) -> DataFrame:
     """``text_key``, ``digest`` of each of its packed strings, ``at`` (words before it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,6 +295,7 @@ def run_places(texts: DataFrame, window: int, frequent: np.ndarray) -> DataFrame
             for part in slices(batch, "text", SLICE_BYTES):
                 words = words_of(part["text"])
                 runs = Runs(words, window, frequent)
+                runs = runs.only(marked(table, runs.key))
                 at = runs.at - words.first[runs.doc]
                 yield pa.RecordBatch.from_arrays(
                     [part["text_key"].take(pa.array(runs.doc)), _digests(runs.packed(words, window)), pa.array(at)], ["text_key", "digest", "at"])
@@ -299,11 +346,18 @@ def remove_repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: st
     small_batches(spark)
     body = F.coalesce(column(docs, text), F.lit(""))
     texts = docs.select(body.alias("text"))
-    frequent = frequent_minimisers(texts, window)
-    found = Saved(repeated_parts(packed_runs(texts, window, frequent), window, bucket_rows), "repeated")
+    counts = minimisers_again(texts, window, np.zeros(0, np.uint64))
+    frequent = frequent_minimisers(counts.df)
+    if len(frequent):  # other minimisers take their place
+        counts.discard()
+        counts = minimisers_again(texts, window, frequent)
+    table = bit_table(counts.df)
+    counts.discard()
+    release_shuffles(spark)
+    found = Saved(repeated_parts(packed_runs(texts, window, frequent, table), window, bucket_rows), "repeated")
     release_shuffles(spark)
     key = F.unhex(F.md5("text"))
-    places = run_places(texts.withColumn("text_key", key), window, frequent)
+    places = run_places(texts.withColumn("text_key", key), window, frequent, table)
     parts = places.join(found.df, "digest").select("text_key", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high"))
     parts = parts.distinct().groupBy("text_key").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
     parts = Saved(parts, "parts")

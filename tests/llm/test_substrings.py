@@ -75,3 +75,22 @@ def test_window_classes():
         got = window_classes(values, window)
         want = [tuple(values[i : i + window]) for i in range(400 - window + 1)]
         assert len(got) == len(want) and len(set(zip(got.tolist(), want))) == len(set(want)) == len(set(got.tolist()))
+
+
+def test_minimisers_that_share_bits(documents, monkeypatch):
+    """A full table of bits sends more strings, the result is the same."""
+    monkeypatch.setattr(substrings, "TABLE_WORDS", 2)
+    monkeypatch.setattr(substrings, "ROW_WORDS", 1)
+    rnd = random.Random(4)
+    few = lambda n: " ".join(f"w{rnd.randrange(3000)}" for _ in range(n))
+    passage = few(50)
+    rows = [(i, f"{few(90)} {passage} {few(90)}" if i % 3 else few(200)) for i in range(30)]
+    assert result(documents(rows)) == plain(rows, 35)
+
+
+def test_bit_table(spark):
+    keys = np.random.default_rng(5).integers(0, 1 << 62, 4000)
+    table = substrings.bit_table(spark.createDataFrame([(int(k),) for k in keys[:2000]], "key long"))
+    hit = substrings.marked(table, keys.view(np.uint64))
+    assert len(table) == substrings.TABLE_WORDS and hit[:2000].all() and hit[2000:].sum() < 20
+    assert not substrings.bit_table(spark.createDataFrame([], "key long")).any()
