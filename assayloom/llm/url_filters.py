@@ -70,8 +70,8 @@ def page_links(pages: DataFrame) -> DataFrame:
     rows = pages.filter(F.col("html").rlike(r"(?i)canonical|refresh")).select("url", F.explode(tags).alias("tag"))
     href = F.regexp_extract("tag", r"""(?i)\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
     goal = F.regexp_extract("tag", r"""(?i)\bcontent\s*=\s*["'][^"'>]*?\burl\s*=\s*["']?([^"'>\s]+)""", 1)
-    link = F.when(F.col("tag").rlike(r"""(?i)^<link\b.*\brel\s*=\s*["']?[^"'>]*\bcanonical\b"""), F.regexp_replace(href, r"""^["']|["']$""", ""))
-    link = link.when(F.col("tag").rlike(r"""(?i)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b"""), goal)
+    link = F.when(F.col("tag").rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?[^"'>]*\bcanonical\b"""), F.regexp_replace(href, r"""^["']|["']$""", ""))
+    link = link.when(F.col("tag").rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b"""), goal)
     return rows.select(address_of(F.col("url")).alias("a"), address_of(resolve(link, F.col("url"))).alias("b"))
 
 
