@@ -3,10 +3,11 @@
 Base spans are found by three patterns.  Weak parts (identifiers, short secrets,
 endpoints) are frequent in clean texts, so they are reported only when a
 complementary part stands within ``REACH`` code points in the same scope, a
-paragraph of one document.  The link is an interval join: parts are dealt to
-blocks of ``REACH`` code points, a block keeps the first and last start of each
-role, and a weak part looks up the blocks that its interval touches.  So the work
-grows with the number of parts, never with pairs.  All of it is DataFrame work.
+paragraph of one document.  The link is an interval join: each part is dealt to
+the blocks of ``REACH`` code points that it touches, a block keeps the smallest
+start and the largest end of each role, and a weak part looks up the blocks that
+its interval touches.  So the work grows with the number and length of the parts,
+never with pairs.  All of it is DataFrame work.
 """
 
 from __future__ import annotations
@@ -97,16 +98,22 @@ def find_parts(docs: DataFrame, text: str) -> DataFrame:
         *[f"_s_{k}" for k in patterns], "_strong", "_access", "_short", "_cut")
 
 
-def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
+def linked_parts(parts: DataFrame, reach: int = REACH, whole: bool = False) -> DataFrame:
     """Weak parts with a complement: ``key``, ``start``, ``rank``, ``end``, each once.
 
-    ``parts`` has ``key``, ``scope``, ``start``, ``rank``, ``end``.
+    ``parts`` has ``key``, ``scope``, ``start``, ``rank``, ``end``.  With ``whole``
+    the code points between two parts count, whichever of them comes first;
+    without it a complement is known by its start alone.
+
+    The interval of a weak part is wider than a block, so the smallest start and
+    the largest end of a block can not lie on two sides of it.
     """
     role = F.create_map(*[F.lit(x) for k, r in ROLES.items() for x in (KINDS.index(k), r)])
     beside = F.create_map(*[x for r, c in COMPLEMENTS.items() for x in (F.lit(r), F.array(*map(F.lit, c)))])
     rows = parts.withColumn("role", role[F.col("rank")])
-    blocks = rows.groupBy("key", "scope", "role", F.expr(f"start div {reach}").alias("block")).agg(
-        F.min("start").alias("first"), F.max("start").alias("last"))
+    to = F.col("end") if whole else F.col("start")
+    touched = rows.withColumn("to", to).withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / reach), F.floor(F.col("to") / reach))))
+    blocks = touched.groupBy("key", "scope", "role", "block").agg(F.min("start").alias("first"), F.max("to").alias("last"))
     weak = rows.filter(F.col("rank") >= KINDS.index("weak_access")).withColumns({"low": F.col("start") - reach, "high": F.col("end") + reach})
     near = F.sequence(F.floor(F.col("low") / reach), F.floor(F.col("high") / reach))
     probes = weak.withColumn("role", F.explode(beside[F.col("role")])).withColumn("block", F.explode(near))
@@ -131,7 +138,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("do
     none = F.array().cast(SPAN)
     clean = given.filter(~some).select(*keep, none.alias("base"), none.alias("spans"))
     parts = rows.df.filter("parts is not null").select(F.col("_key").alias("key"), F.inline("parts"))
-    linked = linked_parts(parts, reach).groupBy("key").agg(
+    linked = linked_parts(parts, reach, whole=True).groupBy("key").agg(
         F.collect_list(F.struct("start", "rank", "end", F.lit(None).cast("int").alias("value"))).alias("more"))
     linked = Saved(linked.withColumnRenamed("key", "_key"), "linked")
     spans = F.sort_array(F.concat("base", F.coalesce("more", F.array().cast(SPAN))))

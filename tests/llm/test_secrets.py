@@ -97,3 +97,24 @@ def test_empty_table_and_clashing_names(documents):
     assert scan(documents([])) == []
     clash = documents([(1, "token=abcdefghijkl99")]).withColumnsRenamed({"lang": "parts", "source": "_key", "n_chars": "_text"})
     assert len(scan_secrets(clash).collect()[0]["spans"]) == 1
+
+
+def test_long_complements(documents):
+    """A complement counts from its end too: long addresses and tokens right before a weak part."""
+    rows = [(1, f"https://{'h' * 230} password=hunter2"), (2, f"token={'T' * 400} user_name=alice"), (3, f"user_name=alice token={'T' * 400}"),
+            (4, f"token={'T' * 400}{' ' * 200}user_name=alice"), (5, f"token={'T' * 400}{' ' * 201}user_name=alice"), (6, f"https://{'h' * 2300} password=hunter2")]
+    got = {r[0]: ([s.split(":")[0] for s in r[3].split(",") if s], r[4]) for r in scan(documents(rows))}
+    both = ["endpoint", "weak_secret"], "[SECRET] [SECRET]"
+    assert got[1] == got[6] == both
+    assert sorted(got[2][0]) == sorted(got[3][0]) == sorted(got[4][0]) == ["assign", "weak_access"] and got[5][0] == ["assign"]
+
+
+def test_whole_links_against_all_pairs(spark):
+    from assayloom.llm.secrets import linked_parts
+
+    rnd = random.Random(9)
+    parts = sorted({(rnd.randrange(6), rnd.randrange(2), s := rnd.randrange(30_000), KINDS.index(rnd.choice(list(ROLES))), s + rnd.randrange(1, 900)) for _ in range(400)})
+    got = {tuple(r) for r in linked_parts(spark.createDataFrame(parts, "key long, scope int, start int, rank int, end int"), whole=True).collect()}
+    want = {(key, start, rank, end) for key, scope, start, rank, end in parts if rank >= 3 for key2, scope2, start2, rank2, end2 in parts
+            if (key, scope) == (key2, scope2) and ROLES[KINDS[rank2]] in COMPLEMENTS[ROLES[KINDS[rank]]] and max(start2 - end, start - end2) <= REACH}
+    assert got == want and 0 < len(want) < sum(p[3] >= 3 for p in parts)
