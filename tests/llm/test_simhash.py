@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from assayloom.llm.simhash import drop_near_duplicates, radius_for, simhash_components, tree_links
+from assayloom.llm.simhash import drop_near_duplicates, radius_for, similar_texts, simhash_components, tree_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -113,3 +113,39 @@ def test_near_duplicates(documents):
     assert sorted(i for i in got if i is not None and 2 < i < 10) == [3, 5, 5] and got.count(None) == 1
     assert drop_near_duplicates(documents([]), ["doc_id"]).count() == 0
     assert radius_for(0.8, 512) == 77
+
+
+def test_near_duplicates_against_all_pairs(documents):
+    """Groups are those of the exact similarity: at 0.8 linked, just below not, also for short texts."""
+    rng = np.random.default_rng(7)
+    texts, fresh = [], iter(range(10**6))
+    for tokens in [*range(8, 14)] * 4 + [44, 84, 164, 404] * 6:
+        one = [f"w{next(fresh)}" for _ in range(tokens)]
+        runs = tokens - 4
+        for changed in {max(1, runs // 5), max(1, runs // 9), max(1, runs // 9) + 1}:  # further words at one end change as many shingles
+            texts += [one + [f"w{next(fresh)}" for _ in range(changed)], one[changed:], one[changed:] + [f"w{next(fresh)}" for _ in range(changed)]]
+        texts.append(one)
+    base = [f"w{next(fresh)}" for _ in range(60)]
+    texts += [base[i : i + 40] for i in range(0, 20, 2)] + [base[:20] + [f"w{next(fresh)}" for _ in range(60)] for _ in range(30)]
+    order = rng.permutation(len(texts))
+    rows = [(i, " ".join(texts[t])) for i, t in enumerate(order.tolist())]
+    sets = [{tuple(texts[t][i : i + 5]) for i in range(max(1, len(texts[t]) - 4))} for t in order.tolist()]
+    root = list(range(len(rows)))
+    linked = at_bar = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                linked, at_bar = linked + 1, at_bar + (5 * both == 4 * (len(sets[i]) + len(sets[j]) - both))
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert linked > 100 and at_bar > 10
+    df = documents(rows)
+    assert {r["doc_id"] for r in drop_near_duplicates(df, ["doc_id"]).collect()} == set(root)
+    # the same with hot shingles cut into groups of about three texts
+    digests = df.selectExpr("doc_id", "unhex(md5(text)) as digest", "text")
+    found = {bytes(r["node"]): r["component"] for r in similar_texts(digests, 5, 0.8, group_rows=3).collect()}
+    least = {}
+    for r in digests.orderBy("doc_id").collect():
+        least.setdefault(bytes(found.get(bytes(r["digest"]), r["digest"])), r["doc_id"])
+    assert set(least.values()) == set(root)
