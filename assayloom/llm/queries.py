@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .embeddings import embedding_components
 from .language import identify
+from .middle import fill_in_middle, restored
 from .mixing import mix_documents
 from .packing import pack_documents
 from .scoring import cross_entropy_difference
@@ -84,6 +85,14 @@ def op10_packing_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFram
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op12_fill_in_middle_fenwick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    output = F.col("output")
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(restored(output, F.col("form")), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Query]:
     named = [
         op1_url_redirect_classes,
@@ -96,5 +105,6 @@ def queries() -> dict[str, Query]:
         op8_language_evidence,
         op9_mixing_splitting_tree,
         op10_packing_minimum_bin_slack,
+        op12_fill_in_middle_fenwick,
     ]
     return {f.__name__: f for f in named}
