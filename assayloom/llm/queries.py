@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .clusters import cluster_vectors
 from .embeddings import embedding_components
 from .language import identify
 from .middle import fill_in_middle, restored
@@ -85,6 +86,10 @@ def op10_packing_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFram
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_centroids_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_fill_in_middle_fenwick(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_in_middle(table(spark, sf_dir, "documents"))
     output = F.col("output")
@@ -105,6 +110,7 @@ def queries() -> dict[str, Query]:
         op8_language_evidence,
         op9_mixing_splitting_tree,
         op10_packing_minimum_bin_slack,
+        op11_centroids_ns_bounds,
         op12_fill_in_middle_fenwick,
     ]
     return {f.__name__: f for f in named}

@@ -14,16 +14,28 @@ from pyspark.sql import functions as F
 from ..sources.store import discard, new_path
 
 
+#: Spark's setting to remove the shuffle files of a query with its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Saved:
     """A table written to the shared folder: its lineage starts at the files.
 
-    ``discard`` removes the files as soon as nothing reads them any more.
+    ``discard`` removes the files as soon as nothing reads them any more.  A
+    ``lean`` one lets Spark remove the shuffle files of the write when it ends.
     """
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, lean: bool = False):
         self.spark = df.sparkSession
         self.path = new_path(self.spark, name)
-        df.write.parquet(self.path)
+        before = self.spark.conf.get(SHUFFLE_CLEANUP)
+        try:
+            if lean:
+                self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+            df.write.parquet(self.path)
+        finally:
+            if lean:
+                self.spark.conf.set(SHUFFLE_CLEANUP, before)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def discard(self) -> None:
