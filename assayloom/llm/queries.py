@@ -13,6 +13,7 @@ from .embeddings import embedding_components
 from .language import identify
 from .middle import fill_in_middle, restored
 from .mixing import mix_documents
+from .neighbours import nearest_neighbours
 from .packing import pack_documents
 from .scoring import cross_entropy_difference
 from .secrets import count_of, scan_secrets
@@ -98,6 +99,10 @@ def op12_fill_in_middle_fenwick(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(restored(output, F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_neighbours_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     named = [
         op1_url_redirect_classes,
@@ -112,5 +117,6 @@ def queries() -> dict[str, Query]:
         op10_packing_minimum_bin_slack,
         op11_centroids_ns_bounds,
         op12_fill_in_middle_fenwick,
+        op13_neighbours_nn_descent,
     ]
     return {f.__name__: f for f in named}
