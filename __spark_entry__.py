@@ -8,42 +8,63 @@ written once to the shared folder, reports read the written tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from assayloom import Harmonization, LabColumns, RuleSet, ScopeRules, read_lab
+from assayloom import Harmonization, LabColumns, RuleSet, ScopeRules, harmonize_folder, open_lab, read_lab
 from assayloom import fixed_values as fixed
 from assayloom.functions.shape import ends_with_percent
 from assayloom.functions.text import WORD, clean_result, clean_unit, first_label, unit_key, without_gloss
 from assayloom.operators import audits, keys, scope, units
 from assayloom.plans import reports
+from assayloom.plans.checked import write_checked
+from assayloom.plans.periods import Periods
 from assayloom.sources import rule_tables, sinks
-from assayloom.sources.store import new_path
-from labview import lab_rows
+from assayloom.sources.store import discard, list_folder, new_path, publish
+from labview import LAB_VIEW, WIDE_VIEW, lab_rows
 
 try:
     import corpus_pipeline
     from assayloom.llm import queries as llm
     from assayloom.llm import sql as llm_sql
-except ModuleNotFoundError as missing:  # the library also works without that package
-    if missing.name not in ("corpus_pipeline", "assayloom.llm"):
-        raise
+except ImportError:  # the library also works without that package, or without what it needs
     corpus_pipeline = None
 
-_studies: dict[tuple[str, str], Study] = {}
+_studies: dict[tuple[str, str, str], Study] = {}
 
 
 class Study(Harmonization):
-    """The lab view at one scale."""
+    """A lab view at one scale."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, **limits: int):
+    def __init__(self, spark: SparkSession, sf_dir: str, view: str = LAB_VIEW, **limits: int):
         self.spark, self.sf_dir = spark, sf_dir
-        self.rows = lab_rows(spark, sf_dir)
+        self.rows = lab_rows(spark, sf_dir, view)
         super().__init__(self.rows, **limits)
         self._written: DataFrame | None = None
 
+    @cached_property
+    def folder(self) -> str:
+        """The view as a folder of lab files, one for each period."""
+        parts, folder = new_path(self.spark, "lab-parts"), new_path(self.spark, "lab")
+        self.rows.repartition("file").write.partitionBy("file").parquet(parts)
+        self.rows.sparkSession.createDataFrame([], "none int").write.parquet(folder)  # makes the folder
+        for period in list_folder(self.spark, parts):
+            if period.startswith("file="):
+                inside = [name for name in list_folder(self.spark, f"{parts}/{period}") if name.startswith("part-")]
+                publish(self.spark, f"{parts}/{period}/{inside[0]}", f"{folder}/{period[5:]}.lab.parquet")
+        discard(self.spark, parts)
+        return folder
+
+    @cached_property
+    def run(self) -> str:
+        """A whole run over that folder, from files to files."""
+        output = new_path(self.spark, "run")
+        harmonize_folder(self.spark, self.folder, output, pattern=LAB_FILES)
+        return output
+
     @property
     def written(self) -> DataFrame:
         """Rows per file of the harmonized output, read back after writing."""
@@ -56,22 +77,23 @@ class Study(Harmonization):
         return self._written
 
 
-def study(spark: SparkSession, sf_dir: str) -> Study:
-    where = (spark.sparkContext.applicationId, sf_dir)
+def study(spark: SparkSession, sf_dir: str, view: str = LAB_VIEW) -> Study:
+    where = (spark.sparkContext.applicationId, sf_dir, view)
     if where not in _studies:
-        _studies[where] = Study(spark, sf_dir)
+        _studies[where] = Study(spark, sf_dir, view)
     return _studies[where]
 
 
 Query = Callable[[SparkSession, str], DataFrame]
+LAB_FILES = "*.lab.parquet"
 
 
-def over_study(build: Callable[[Study], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(study(spark, sf_dir))
+def over_study(build: Callable[[Study], DataFrame], view: str = LAB_VIEW) -> Query:
+    return lambda spark, sf_dir: build(study(spark, sf_dir, view))
 
 
-def over_decisions(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return over_study(lambda s: build(s.decisions))
+def over_decisions(build: Callable[[DataFrame], DataFrame], view: str = LAB_VIEW) -> Query:
+    return over_study(lambda s: build(s.decisions), view)
 
 
 ROW = ["file", "OBS_ID", "LINE_NO"]
@@ -208,6 +230,12 @@ def row_count_check(s: Study) -> DataFrame:
     return reports.row_count_check(source, s.written)
 
 
+def near_miss_indexed(s: Study) -> DataFrame:
+    """The near misses with the vocabulary as a table that is joined."""
+    words = s.spark.createDataFrame([(w,) for w in s.rules.text.vocabulary], "word string")
+    return s.near_misses(words)
+
+
 def audit_synonyms(s: Study) -> DataFrame:
     """Were each recorded unit its own agreed spelling, which would clash?"""
     seen = units_recorded(s).filter(F.col("unit_recorded").isNotNull())
@@ -230,17 +258,104 @@ def audit_registry(s: Study) -> DataFrame:
         F.when(n % 3 != 0, n.cast("double")).alias("factor"),
         F.when(n % 5 != 0, n.cast("double")).alias("molar_mass"),
     )
-    return audits.conversion_problems(proposed, rule_tables.synonym_table(s.spark))
+    return audits.conversion_audit(proposed, rule_tables.synonym_table(s.spark))
 
 
 def document_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents read as a lab file without codes and units: whole texts, in several languages."""
+    """The documents read as a lab file: the language is the code, the source the unit; whole texts, in several languages."""
     roles = LabColumns(code="lang", result="text", unit="source", name=None, link=None)
     rows, roles = read_lab(spark, sf_dir, ["documents.parquet"], columns=roles)
-    blank = F.lit(None).cast("string")
-    job = Harmonization(rows.withColumns({"lang": blank, "source": blank}), RuleSet(columns=roles))
     n_chars = F.length(clean_result(F.col("text"))).cast("long").alias("n_chars")
-    return job.harmonized_in_place().select("file", "doc_id", n_chars, "shape", "split_action")
+    return Harmonization(rows, RuleSet(columns=roles)).harmonized_in_place().select(
+        "file", "doc_id", n_chars, "shape", "split_action", "unit")
+
+
+def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files with different columns, listed by name; their texts counted by shape."""
+    roles = LabColumns(code="text", result="text", unit="text", name=None, link=None)
+    files = ["documents.parquet", "benchmark.parquet", "conversations.parquet"]
+    rows, roles = read_lab(spark, sf_dir, files, columns=roles)
+    shapes = Harmonization(rows, RuleSet(columns=roles)).harmonized_in_place()
+    n_chars = F.sum(F.length(clean_result(F.col("text")))).alias("n_chars")
+    return shapes.groupBy("file", "shape").agg(F.count(F.lit(1)).alias("n_rows"), n_chars)
+
+
+# --- through files -------------------------------------------------------------
+
+
+def period(name: str = "file"):
+    """Name of a lab file without its ending."""
+    return F.regexp_replace(name, r"\.lab\.parquet$", "").alias("file")
+
+
+def folder_rows(s: Study) -> DataFrame:
+    rows = open_lab(s.spark, s.folder, pattern=LAB_FILES).rows
+    return rows.select(period(), "OBS_ID", "LINE_NO", "CODE_TEST", "SHORT_TEST", "RESULT_VAL", "UNIT")
+
+
+def folder_harmonized(s: Study) -> DataFrame:
+    """The harmonized rows as a whole run left them in its output folder."""
+    rows = s.spark.read.option("basePath", f"{s.run}/harmonized").parquet(f"{s.run}/harmonized").drop("source_row")
+    return rows.withColumn("file", period())
+
+
+def folder_distribution(s: Study) -> DataFrame:
+    """The report that the whole run wrote."""
+    schema = reports.distribution_comparison(s.decisions).schema
+    return from_csv(s.spark, f"{s.run}/distribution_comparison", schema).withColumn("file", period())
+
+
+def from_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True, basePath=path).csv(path)
+
+
+def written_content(s: Study) -> DataFrame:
+    return write_checked(s, new_path(s.spark, "checked"))
+
+
+def periods_update(s: Study) -> DataFrame:
+    """Decisions after two updates: all files but the last, then the whole folder."""
+    files = sorted(name for name in list_folder(s.spark, s.folder) if name.endswith(".lab.parquet"))
+    store = Periods(s.spark, new_path(s.spark, "periods"))
+    store.update(s.folder, files[:-1], LAB_FILES)
+    update = store.update(s.folder, pattern=LAB_FILES)
+    return reports.decisions_table(update.decisions).withColumn("file", period())
+
+
+def decisions_file(s: Study) -> DataFrame:
+    table, path = reports.decisions_table(s.decisions), new_path(s.spark, "decisions-csv")
+    sinks.write_decisions(table, path, "csv")
+    return from_csv(s.spark, path, table.schema)
+
+
+def report_file(s: Study) -> DataFrame:
+    report, path = reports.code_dictionary(s.decisions), new_path(s.spark, "report-csv")
+    sinks.write_report(report, path)
+    return from_csv(s.spark, path, report.schema)
+
+
+def synonyms_file(s: Study) -> DataFrame:
+    """Spellings proposed from the recorded units, through a CSV file and its reader."""
+    units_ = s.rows.filter(F.col("UNIT").isNotNull()).groupBy("UNIT").agg(F.count(F.lit(1)).alias("n"))
+    proposed = units_.select(
+        F.col("UNIT").alias("unit_as_recorded"), F.when(F.col("n") % 3 != 0, F.upper("UNIT")).alias("unit_to_use"),
+        F.lit('a "note", with signs').alias("note"))
+    path = new_path(s.spark, "synonyms-csv")
+    sinks.write_report(proposed, path)
+    return rule_tables.read_synonyms(s.spark, path).select("unit_as_recorded", "unit_to_use")
+
+
+def conversions_file(s: Study) -> DataFrame:
+    """Conversions proposed from the recorded units, through a CSV file and its reader; a factor may be no number."""
+    known = s.rows.filter(F.col("CODE_TEST").isNotNull() & F.col("UNIT").isNotNull())
+    pairs, n = known.groupBy("CODE_TEST", "UNIT").agg(F.count(F.lit(1)).alias("n")), F.col("n")
+    proposed = pairs.select(
+        F.col("CODE_TEST").alias("code"), F.col("UNIT").alias("unit_source"), F.lit(" mg/dL ").alias("unit_target"),
+        (n % 5).cast("string").alias("method"), F.when(n % 3 != 0, (n / 8.0).cast("string")).otherwise("unknown").alias("factor"),
+        F.when(n % 7 != 0, n).alias("molar_mass"), F.lit("x").alias("note"))
+    path = new_path(s.spark, "conversions-csv")
+    sinks.write_report(proposed, path)
+    return rule_tables.read_conversions(s.spark, path).select("code", "unit_source", "unit_target", "method", "factor", "molar_mass")
 
 
 def queries() -> dict[str, Query]:
@@ -300,6 +415,7 @@ def lab_queries() -> dict[str, Query]:
         "row_count_check": over_study(row_count_check),
         "review_top": over_decisions(reports.review_top),
         "near_miss": over_study(lambda s: s.near_misses()),
+        "near_miss_indexed": over_study(near_miss_indexed),
         "unit_pairs": over_decisions(reports.unit_pairs),
         "conversions_used": over_decisions(reports.conversions_used),
         "unregistered_per_file": over_decisions(reports.unregistered_per_file),
@@ -310,6 +426,21 @@ def lab_queries() -> dict[str, Query]:
         "audit_synonyms": over_study(audit_synonyms),
         "audit_registry": over_study(audit_registry),
         "document_shapes": document_shapes,
+        "text_files": text_files,
+        "code_dictionary_long": over_decisions(reports.dictionary_entries),
+        "folder_rows": over_study(folder_rows),
+        "folder_harmonized": over_study(folder_harmonized),
+        "folder_distribution": over_study(folder_distribution),
+        "written_content": over_study(written_content),
+        "periods_update": over_study(periods_update),
+        "decisions_file": over_study(decisions_file),
+        "report_file": over_study(report_file),
+        "synonyms_file": over_study(synonyms_file),
+        "conversions_file": over_study(conversions_file),
+        "wide_decisions": over_decisions(reports.decisions_table, WIDE_VIEW),
+        "wide_harmonized": over_study(lambda s: s.harmonized(), WIDE_VIEW),
+        "wide_parse_failures": over_decisions(reports.parse_failures, WIDE_VIEW),
+        "wide_conversions_applied": over_decisions(reports.conversions_applied, WIDE_VIEW),
     }
 
 

@@ -104,6 +104,24 @@ NEAR_MISS_VOCABULARY = [
     "marked", "slightly", "weakly", "strongly",
 ]
 
+# --- shapes as patterns ------------------------------------------------------
+
+# shape -> pattern, in the order in which they are tried; names in braces stand for the patterns above
+SHAPE_PATTERNS = [
+    ("plain_numeric", r"^{number}\s*%?\z"),
+    ("operator_numeric", r"^{sign}\s*{number}\s*%?\z"),
+    ("numeric_range", r"^{simple}\s*{separator}\s*{simple}\s*%?\z"),
+    ("ordinal_plus", r"^\d+\+\z"),
+    ("verbal_operator_numeric", r"(?i)^{verbal}\s+{simple}\s*%?\z"),
+    ("qualifier_numeric", r"(?i)^(?:{simple}\s*%?\s*)?(?:{any_modifier}\s+)?{quality}{gloss}(?:\s*{simple}\s*%?)?\z"),
+    ("qualifier_ordinal", r"(?i)^{quality}\s+\d+\+\z"),
+    ("qualifier_comparison", r"(?i)^{quality}\s*{compare}\s*{simple}\s*%?\z|^{compare}\s*{simple}\s*%?\s*{quality}\z"),
+    ("mixed_text_numeric", r"{standalone}"),
+    ("qualifier_detection", r"(?i)^(?:{modifier}\s+)?{detection}{gloss}\.?\z"),
+    ("severity_grade", r"(?i)^{severity}\z"),
+    ("short_text", r"\p{{L}}"),
+]
+
 # --- shapes and actions ------------------------------------------------------
 
 SHAPES = [

@@ -24,6 +24,31 @@ def duplicate_pairs(conversions: DataFrame) -> DataFrame:
     return conversions.groupBy("code", "unit_source").count().filter(F.col("count") > 1).drop("count")
 
 
+def spelling_clashes(conversions: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """Units of conversions that share a key but differ in spelling, and no synonym decides; the first one listed wins.
+
+    ``unit_key``, ``first_spelling``, ``last_spelling`` (in byte order), ``n_spellings``.
+    """
+    units = conversions.select(F.col("unit_source").alias("unit")).union(conversions.select("unit_target"))
+    keyed = units.filter(F.col("unit") != "").withColumn("unit_key", unit_key(F.col("unit")))
+    explicit = synonyms.select(unit_key(F.col("unit_as_recorded")).alias("unit_key")).distinct()
+    return (
+        keyed.join(explicit, "unit_key", "left_anti")
+        .groupBy("unit_key")
+        .agg(F.min("unit").alias("first_spelling"), F.max("unit").alias("last_spelling"),
+             F.count_distinct("unit").alias("n_spellings"))
+        .filter(F.col("n_spellings") > 1)
+    )
+
+
+def conversion_audit(conversions: DataFrame, synonyms: DataFrame) -> DataFrame:
+    """The problems that refuse a registry, and the clashes of spellings that only ask for a synonym row."""
+    clashes = spelling_clashes(conversions, synonyms).select(
+        F.lit(None).cast("string").alias("code"), F.col("first_spelling").alias("unit_source"),
+        F.col("last_spelling").alias("unit_target"), F.lit("spellings of one unit differ").alias("problem"))
+    return conversion_problems(conversions, synonyms).unionByName(clashes)
+
+
 def conversion_problems(conversions: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Rows ``code, unit_source, unit_target, problem``: what keeps a conversion from being safe."""
     agreed = synonyms.select(unit_key(F.col("unit_as_recorded")).alias("unit_key"), F.col("unit_to_use")).distinct()
@@ -58,19 +83,6 @@ def conversion_problems(conversions: DataFrame, synonyms: DataFrame) -> DataFram
     return row_problems.unionByName(duplicates)
 
 
-def spelling_clashes(conversions: DataFrame, synonyms: DataFrame) -> DataFrame:
-    """Units of conversions that share a key but differ in spelling; the first one listed wins."""
-    units = conversions.select(F.col("unit_source").alias("unit")).union(conversions.select("unit_target"))
-    keyed = units.filter(F.col("unit") != "").withColumn("unit_key", unit_key(F.col("unit")))
-    explicit = synonyms.select(unit_key(F.col("unit_as_recorded")).alias("unit_key")).distinct()
-    return (
-        keyed.join(explicit, "unit_key", "left_anti")
-        .groupBy("unit_key")
-        .agg(F.count_distinct("unit").alias("n_spellings"))
-        .filter(F.col("n_spellings") > 1)
-    )
-
-
 def refuse(problems: DataFrame, what: str) -> None:
     """Raise when there is a problem; names all of them, rule tables are small."""
     found = problems.collect()

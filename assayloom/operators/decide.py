@@ -13,6 +13,7 @@ from assayloom.operators.units import CANONICAL, UnitRules, canonical_unit, stan
 from assayloom.rules import LabColumns, TextRules
 
 WORDS = "_lab_words"
+BITS = "_lab_bits_of_text"
 
 
 def value_counts(rows: DataFrame, columns: LabColumns) -> DataFrame:
@@ -39,7 +40,9 @@ def classify(df: DataFrame, rules: TextRules) -> DataFrame:
     """
     text, unit = F.col(RESULT), F.col(CANONICAL)
     shape = F.col("shape")
-    df = df.withColumn("shape", shapes.shape(text, rules))
+    # texts that are longer are narrative, whatever follows
+    df = df.withColumn(BITS, shapes.signature(text, rules.narrative_length + 1))
+    df = df.withColumn("shape", shapes.shape(text, rules, F.col(BITS))).drop(BITS)
     df = df.withColumn("split_action", shapes.split_action(shape, shapes.percent_fits(text, unit)))
     df = df.withColumn(WORDS, typed.words(text, shape))
     plain = F.col(WORDS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -18,7 +19,6 @@ SALTS = 64
 #: Words of 64 bits of the filter of orders: about one for each order, and never more than 64 MB of them.
 LEAST_WORDS, MOST_WORDS = 1 << 10, 1 << 21
 BITS_PER_ORDER = 3
-NO_LINK_SALTS = 1 << 20
 
 
 def prefix_test(columns: LabColumns, rules: ScopeRules) -> Column:
@@ -30,21 +30,23 @@ def prefix_test(columns: LabColumns, rules: ScopeRules) -> Column:
     return reduce(or_, [F.startswith(code, F.lit(p)) for p in rules.prefixes], F.lit(False))
 
 
-def linked_orders(rows: DataFrame, columns: LabColumns, rules: ScopeRules = ScopeRules()) -> DataFrame:
-    """Distinct orders that have a row with an excluded prefix, over all files."""
+def linked_orders(rows: DataFrame, columns: LabColumns, rules: ScopeRules = ScopeRules(), by: Sequence[str] = ()) -> DataFrame:
+    """Distinct orders that have a row with an excluded prefix, over all files or for each value of some columns."""
     link = source(columns.link).cast("string")
-    return rows.filter(prefix_test(columns, rules)).select(link.alias(LINK)).dropna().distinct()
+    return rows.filter(prefix_test(columns, rules)).select(*by, link.alias(LINK)).dropna(subset=[LINK]).distinct()
 
 
 @dataclass(frozen=True)
 class OrderFilter:
     """A filter of bounded size that no linked order fails, and the other orders of the table that pass it.
 
-    Both are small enough for a broadcast, so rows are told apart exactly where they are.
+    Both are small enough for a broadcast, so rows are told apart exactly where
+    they are.  Without ``others``, these are too many, and the rows that pass the
+    filter are told apart by a join.
     """
 
     words: DataFrame
-    others: DataFrame
+    others: DataFrame | None
 
 
 def _places(link: Column, n_words: Column) -> tuple[Column, Column]:
@@ -92,11 +94,11 @@ def flag_scope(
     ``linked`` are the orders of :func:`linked_orders`; without it the link
     rule is off.  Set ``broadcast`` only after a size check.  With ``filtered``
     the orders stay where they are too: a row is linked if its order passes the
-    filter and is none of the others that do.  Without either, both
-    sides are shuffled by order, and one order may own a large part of all
-    rows, so the rows of each order are spread over ``SALTS`` tasks and the far
-    smaller list of orders is repeated for each.  Rows without an order match
-    nothing and are spread over all tasks.
+    filter and is none of the others that do.  When the others are too many, all rows
+    that fail the filter stay where they are, and only those that pass are
+    shuffled by order to meet the linked ones.  One order may own a large part of
+    them, so its rows are spread over ``SALTS`` tasks and the far smaller list
+    of orders is repeated for each.
     """
     by_prefix = F.coalesce(prefix_test(columns, rules), F.lit(False))
     if linked is None:
@@ -106,18 +108,16 @@ def flag_scope(
     if broadcast:
         right = F.broadcast(linked.withColumn(marker, F.lit(True)))
         joined = rows.join(right, link == F.col(LINK), "left").drop(LINK)
-    elif filtered is not None:
+    elif filtered is not None and filtered.others is not None:
         others = F.broadcast(filtered.others.select(LINK, F.lit(True).alias("_lab_other")))
         joined = _with_hits(rows, link, filtered.words, "_lab_hit").join(others, link == F.col(LINK), "left").drop(LINK)
         joined = joined.withColumn(marker, F.col("_lab_hit") & F.col("_lab_other").isNull()).drop("_lab_hit", "_lab_other")
     else:
-        spread = (
-            source(columns.position)
-            if columns.position
-            else F.xxhash64(*[source(c) for c in rows.columns])
-        )
-        salts = F.when(link.isNull(), F.lit(NO_LINK_SALTS)).otherwise(F.lit(SALTS))
-        left = rows.withColumn(SALT, F.pmod(spread, salts).cast("int"))
+        words = filtered.words if filtered else order_words(linked, linked.count())
+        tested = _with_hits(rows, link, words, "_lab_hit")
+        calm = tested.filter(~F.col("_lab_hit")).withColumn(marker, F.lit(None).cast("boolean"))
+        spread = source(columns.position) if columns.position else F.xxhash64(*[source(c) for c in rows.columns])
+        left = tested.filter("_lab_hit").withColumn(SALT, F.pmod(spread, F.lit(SALTS)).cast("int"))
         right = linked.select(
             LINK,
             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_lab_salt_copy"),
@@ -125,6 +125,7 @@ def flag_scope(
         )
         on = (link == F.col(LINK)) & (F.col(SALT) == F.col("_lab_salt_copy"))
         # the caller found the orders too many for a broadcast
-        joined = left.join(right.hint("merge"), on, "left").drop(LINK, SALT, "_lab_salt_copy")
+        hits = left.join(right.hint("merge"), on, "left").drop(LINK, SALT, "_lab_salt_copy")
+        joined = calm.unionByName(hits).drop("_lab_hit")
     why = F.when(by_prefix, F.lit("prefix")).when(F.col(marker), F.lit("link"))
     return joined.withColumn(EXCLUDED_BY, why).drop(marker)

@@ -78,8 +78,15 @@ class UnitRules:
 
     @classmethod
     def default(cls, spark: SparkSession) -> UnitRules:
-        """The shipped tables; their check is a test, not a job of each run."""
-        return cls.load(rule_tables.synonym_table(spark), rule_tables.conversion_table(spark), check=False)
+        """The shipped tables, checked and loaded once for each session."""
+        known = _defaults.get(spark.sparkContext.applicationId)
+        if known is None or known.spellings.sparkSession is not spark:
+            known = cls.load(rule_tables.synonym_table(spark), rule_tables.conversion_table(spark))
+            _defaults[spark.sparkContext.applicationId] = known
+        return known
+
+
+_defaults: dict[str, UnitRules] = {}
 
 
 def _pin(rules: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from assayloom.operators.units import is_numeric_split
 #: Up to this many rows per group Spark keeps only the best rows of each map task before the shuffle.
 MAP_SIDE_TOP = 1000
 TOP_BUCKETS = 256
+#: Texts with so many first characters in common are joined together first.
+PART_CHARS = 6
 
 
 def in_scope(decisions: DataFrame) -> DataFrame:
@@ -29,9 +31,41 @@ def percent(part: Column, total: Column, digits: int) -> Column:
     return F.round(F.try_divide(F.lit(100.0) * part, total), digits)
 
 
-def joined(column: str, separator: str = fixed.NAME_SEPARATOR) -> Column:
-    """Distinct non-empty texts in byte order; null without any gives an empty text."""
-    return F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(column), F.lit("")))), separator)
+def entries(rows: DataFrame, keys: list[Column], cells: dict[str, str]) -> DataFrame:
+    """Long form of text cells: the keys, ``cell``, ``text``, ``n_rows`` for each different text of a column.
+
+    ``cells`` names a column for each cell.  An empty text counts as none.
+    """
+    every = F.array(*[F.struct(F.lit(cell).alias("cell"), F.nullif(F.col(c), F.lit("")).alias("text")) for cell, c in cells.items()])
+    names = rows.select(*keys).columns
+    long = rows.select(*keys, "n_rows", F.explode(every).alias("_entry")).select(*names, "_entry.cell", "_entry.text", "n_rows")
+    return long.groupBy(*names, "cell", "text").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def joined(rows: DataFrame, keys: list[Column], cells: dict[str, str], separators: dict[str, str] | None = None) -> DataFrame:
+    """For each key ``n_rows``, the different texts of each cell in byte order as one text, and their number ``n_<cell>``.
+
+    Texts are made different by a shuffle of their own.  Those with the same
+    beginning are sorted and joined together, then such parts are put in order, so no
+    task sorts all rows or all texts of a key.
+    """
+    separators = {cell: fixed.NAME_SEPARATOR for cell in cells} | (separators or {})
+    names = rows.select(*keys).columns
+    found = entries(rows, keys, cells).groupBy(*names, "cell", F.left("text", F.lit(PART_CHARS)).alias("_part")).agg(
+        F.sum("n_rows").alias("n_rows"), F.count("text").alias("_n"), F.array_sort(F.collect_list("text")).alias("_texts"))
+    cell = F.col("cell")
+    text = None
+    for name, separator in separators.items():
+        of = F.array_join("_texts", separator)
+        text = F.when(cell == name, of) if text is None else text.when(cell == name, of)
+    found = found.withColumn("_text", text)
+    first = next(iter(cells))
+    out = [F.sum(F.when(cell == first, F.col("n_rows"))).alias("n_rows")]
+    for name, separator in separators.items():
+        parts = F.array_sort(F.collect_list(F.when((cell == name) & (F.col("_n") > 0), F.struct("_part", "_text"))))
+        out.append(F.array_join(F.transform(parts, lambda part: part["_text"]), separator).alias(name))
+        out.append(F.sum(F.when(cell == name, F.col("_n"))).alias(f"n_{name}"))
+    return found.groupBy(*names).agg(*out)
 
 
 # --- decisions and counts ------------------------------------------------------
@@ -75,21 +109,27 @@ def conversion_status_counts(decisions: DataFrame) -> DataFrame:
 
 
 def _summary(decisions: DataFrame, extra: list[Column]) -> DataFrame:
+    """Counts of each file, from the few groups of (reason of exclusion, action, shape); codes are counted beside."""
     inside = F.col("excluded_by").isNull()
-    in_review = inside & (F.col("split_action") == "review")
-    review_code = F.when(in_review, F.col("code"))
-    review_without_code = F.max(F.when(in_review & F.col("code").isNull(), 1).otherwise(0))
-    return decisions.groupBy("file").agg(
+    groups = decisions.groupBy("file", "excluded_by", "split_action", "shape").agg(
+        F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("_values"), rows_where(nothing_extracted()).alias("_failures"))
+    totals = groups.groupBy("file").agg(
         F.sum("n_rows").alias("total_rows"),
         rows_where(~inside).alias("excluded_rows"),
         rows_where(F.col("excluded_by") == "link").alias("excluded_linked_rows"),
         rows_where(inside).alias("in_scope_rows"),
         *[rows_where(inside & (F.col("split_action") == a)).alias(f"{a}_rows") for a in ("split", "missing", "review")],
-        F.count(F.when(inside, 1)).alias("distinct_values"),
-        (F.count_distinct(review_code) + review_without_code).alias("codes_in_review"),
-        rows_where(inside & nothing_extracted()).alias("parse_failures"),
+        F.coalesce(F.sum(F.when(inside, F.col("_values"))), F.lit(0)).alias("distinct_values"),
+        F.coalesce(F.sum(F.when(inside, F.col("_failures"))), F.lit(0)).alias("parse_failures"),
         *extra,
     )
+    # no code is one code
+    codes = in_scope(decisions).filter(F.col("split_action") == "review").select("file", "code").distinct()
+    codes = codes.groupBy("file").agg(F.count(F.lit(1)).alias("codes_in_review"))
+    names = [c for c in totals.columns if c != "parse_failures"]
+    at = names.index("distinct_values") + 1
+    both = totals.join(codes, "file", "left").fillna(0, ["codes_in_review"])
+    return both.select(*names[:at], "codes_in_review", "parse_failures", *names[at:])
 
 
 def file_summary(decisions: DataFrame) -> DataFrame:
@@ -97,21 +137,21 @@ def file_summary(decisions: DataFrame) -> DataFrame:
     return _summary(decisions, [])
 
 
-def distribution_comparison(decisions: DataFrame, written: DataFrame | None = None) -> DataFrame:
+def distribution_comparison(decisions: DataFrame, written: DataFrame | None = None, files: DataFrame | None = None) -> DataFrame:
     """One row per file: shares of actions and shapes in percent of all rows.
 
     ``written`` has ``file, rows_written`` when harmonized rows were written.
+    ``files`` may name all files of the run (``file``): one without rows then has
+    its own row, with counts of zero and no shares.
     """
     inside = F.col("excluded_by").isNull()
     shapes = [rows_where(inside & (F.col("shape") == s)).alias(f"_{s}") for s in fixed.SHAPES]
     facts = _summary(decisions, shapes)
+    if files is not None:
+        counts = [c for c in facts.columns if c != "file"]
+        facts = files.select("file").join(facts, "file", "left").fillna(0, counts)
     total = F.col("total_rows")
-    if written is None:
-        facts = facts.withColumn("rows_written", F.lit(None).cast("long"))
-    else:
-        # a file without any written row has lost them all
-        facts = facts.join(written.select("file", "rows_written"), "file", "left").fillna(0, ["rows_written"])
-    return facts.select(
+    shares = facts.select(
         "file",
         "total_rows",
         "excluded_rows",
@@ -119,10 +159,19 @@ def distribution_comparison(decisions: DataFrame, written: DataFrame | None = No
         *[percent(F.col(f"{a}_rows"), total, 2).alias(f"{a}_pct") for a in ("split", "missing", "review")],
         "codes_in_review",
         "parse_failures",
-        "rows_written",
-        (F.col("rows_written") == total).alias("row_count_match"),
+        F.lit(None).cast("long").alias("rows_written"),
+        F.lit(None).cast("boolean").alias("row_count_match"),
         *[percent(F.col(f"_{s}"), total, 3).alias(f"shape_{s}_pct") for s in sorted(fixed.SHAPES)],
-    ).orderBy("file")
+    )
+    return (shares if written is None else with_written(shares, written)).orderBy("file")
+
+
+def with_written(distribution: DataFrame, written: DataFrame) -> DataFrame:
+    """Fill in the written rows (``file, rows_written``); a file without any has lost them all."""
+    columns = distribution.columns
+    both = distribution.drop("rows_written", "row_count_match").join(written.select("file", "rows_written"), "file", "left")
+    both = both.fillna(0, ["rows_written"])
+    return both.withColumn("row_count_match", F.col("rows_written") == F.col("total_rows")).select(columns)
 
 
 def review_spread(distribution: DataFrame) -> DataFrame:
@@ -175,21 +224,15 @@ def _numeric(decisions: DataFrame) -> DataFrame:
 
 def unit_pairs(decisions: DataFrame) -> DataFrame:
     """Numeric (code, unit) pairs of each file."""
-    return (
-        _numeric(decisions)
-        .groupBy("file", "code", "unit", "conversion_status")
-        .agg(F.sum("n_rows").alias("n_rows"), joined("name").alias("test_names"))
-    )
+    keys = [F.col(c) for c in ("file", "code", "unit", "conversion_status")]
+    return joined(_numeric(decisions), keys, {"test_names": "name"}).drop("n_test_names")
 
 
 def conversions_used(decisions: DataFrame) -> DataFrame:
     """Conversions applied in each file."""
-    return (
-        _numeric(decisions)
-        .filter(F.col("conversion_status") == "convert")
-        .groupBy("file", "code", F.col("unit").alias("unit_source"), F.col("unit_std").alias("unit_target"))
-        .agg(F.sum("n_rows").alias("n_rows"), joined("name").alias("test_names"))
-    )
+    used = _numeric(decisions).filter(F.col("conversion_status") == "convert")
+    keys = [F.col("file"), F.col("code"), F.col("unit").alias("unit_source"), F.col("unit_std").alias("unit_target")]
+    return joined(used, keys, {"test_names": "name"}).drop("n_test_names")
 
 
 def unregistered_per_file(decisions: DataFrame) -> DataFrame:
@@ -203,18 +246,9 @@ def unregistered_per_file(decisions: DataFrame) -> DataFrame:
     )
 
 
-def _units_over_files(decisions: DataFrame, keys: list[Column | str]) -> DataFrame:
-    return decisions.groupBy(*keys).agg(
-        joined("name").alias("test_names"),
-        F.sum("n_rows").alias("n_rows"),
-        F.array_sort(F.collect_set("file")).alias("_files"),
-    )
-
-
-def _with_files(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {"n_files": F.size("_files").cast("long"), "files": F.array_join("_files", fixed.FILE_SEPARATOR)}
-    ).drop("_files")
+def _over_files(decisions: DataFrame, keys: list[Column]) -> DataFrame:
+    """The keys, ``test_names``, ``n_rows``, ``n_files``, ``files``."""
+    return joined(decisions, keys, {"test_names": "name", "files": "file"}, {"files": fixed.FILE_SEPARATOR}).drop("n_test_names")
 
 
 def multi_unit_codes(decisions: DataFrame) -> DataFrame:
@@ -227,7 +261,7 @@ def units_not_registered(decisions: DataFrame, conversions: DataFrame) -> DataFr
     """Open pairs: codes with several units, without a conversion, and not the unit that others convert to."""
     targets = conversions.select("code", F.col("unit_target").alias("unit")).distinct()
     open_pairs = _numeric(decisions).filter(F.col("conversion_status") == "not_registered")
-    per_pair = _with_files(_units_over_files(open_pairs, ["code", "unit"]))
+    per_pair = _over_files(open_pairs, [F.col("code"), F.col("unit")])
     return (
         per_pair.join(multi_unit_codes(decisions).select("code"), "code", "left_semi")
         .withColumn("unit", F.coalesce("unit", F.lit(fixed.BLANK_UNIT)))
@@ -240,25 +274,24 @@ def units_not_registered(decisions: DataFrame, conversions: DataFrame) -> DataFr
 def conversions_applied(decisions: DataFrame) -> DataFrame:
     """Each applied conversion over all files."""
     used = _numeric(decisions).filter(F.col("conversion_status") == "convert")
-    keys = ["code", F.col("unit").alias("unit_source"), F.col("unit_std").alias("unit_target")]
+    keys = [F.col("code"), F.col("unit").alias("unit_source"), F.col("unit_std").alias("unit_target")]
     return (
-        _with_files(_units_over_files(used, keys))
+        _over_files(used, keys)
         .select("code", "unit_source", "unit_target", "test_names", "n_rows", "n_files", "files")
         .orderBy("code", F.desc("n_rows"), "unit_source", "unit_target")
     )
 
 
+#: Cell of the dictionary -> column of the decisions.
+DICTIONARY = {"test_names": "name", "units_recorded": "unit_recorded", "units_used": "unit"}
+
+
+def dictionary_entries(decisions: DataFrame) -> DataFrame:
+    """``code``, ``cell``, ``text``, ``n_rows``: each name and unit of a code over all files, one to a row."""
+    return entries(in_scope(decisions), [F.col("code")], DICTIONARY).filter(F.col("text").isNotNull())
+
+
 def code_dictionary(decisions: DataFrame) -> DataFrame:
     """Names and units of each code over all files."""
-    return (
-        in_scope(decisions)
-        .groupBy("code")
-        .agg(
-            joined("name").alias("test_names"),
-            joined("unit_recorded").alias("units_recorded"),
-            joined("unit").alias("units_used"),
-            F.sum("n_rows").alias("n_rows"),
-            F.size(F.collect_set("file")).cast("long").alias("n_files"),
-        )
-        .orderBy("code")
-    )
+    found = joined(in_scope(decisions), [F.col("code")], DICTIONARY | {"files": "file"})
+    return found.select("code", *DICTIONARY, "n_rows", "n_files").orderBy("code")

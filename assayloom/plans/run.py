@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,16 +13,20 @@ from assayloom import fixed_values as fixed
 from assayloom.operators.attach import JOIN_KEYS, attach, decide_in_place, lookup_table, output_columns
 from assayloom.operators.decide import decide, decision_columns, label_excluded, value_counts
 from assayloom.operators.keys import protect_source, with_keys
-from assayloom.operators.near_miss import near_misses
+from assayloom.operators.near_miss import near_misses, near_misses_among
 from assayloom.operators.scope import OrderFilter, flag_scope, linked_orders, order_words, wrong_hits
 from assayloom.operators.units import UnitRules
 from assayloom.plans import reports
+from assayloom.plans.checked import write_checked
 from assayloom.rules import LabColumns, RuleSet, ScopeRules, TextRules
 from assayloom.session import prepare
 from assayloom.sources import sinks
-from assayloom.sources.lab import check_columns, read_lab
+from assayloom.sources.lab import check_columns, open_lab
 from assayloom.sources.rule_tables import conversion_table, read_conversions, read_synonyms, synonym_table
-from assayloom.sources.store import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, save_table
+from assayloom.sources.store import BROADCAST_BYTES, BROADCAST_ROWS, discard, fits_broadcast, new_path, save_table
+
+#: Reports that are written side by side; most of the time of a small one is planning.
+REPORTS_AT_ONCE = 8
 
 
 class Harmonization:
@@ -30,7 +35,9 @@ class Harmonization:
     Two tables are written to the shared folder when first needed: the orders
     that exclude other rows, and the decisions.  Every report reads the saved
     decisions, so each source row is scanned, cleaned and counted once and each
-    distinct value is judged once.
+    distinct value is judged once.  ``linked`` may give the orders (one column,
+    as of :func:`linked_orders`) when the rows are only some of the files.  ``close`` removes the saved tables; a job is
+    also a context manager that closes itself.
     """
 
     def __init__(
@@ -40,6 +47,7 @@ class Harmonization:
         units: UnitRules | None = None,
         broadcast_rows: int = BROADCAST_ROWS,
         broadcast_bytes: int = BROADCAST_BYTES,
+        linked: DataFrame | None = None,
     ):
         check_columns(rows, rules.columns)
         prepare(rows.sparkSession)
@@ -48,13 +56,33 @@ class Harmonization:
         self.units = units or UnitRules.default(rows.sparkSession)
         self.limits = (broadcast_rows, broadcast_bytes)
         self.others_limits = (BROADCAST_ROWS, BROADCAST_BYTES)
+        self._saved: list[str] = []
+        self._known_linked = linked
+
+    def __enter__(self) -> Harmonization:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Remove the tables that this job saved; nothing that reads them works any more."""
+        while self._saved:
+            discard(self.source.sparkSession, self._saved.pop())
+
+    def _save(self, df: DataFrame, name: str) -> DataFrame:
+        self._saved.append(new_path(df.sparkSession, name))
+        return save_table(df, name, self._saved[-1])
 
     @cached_property
     def linked(self) -> DataFrame | None:
         """Orders with an excluded row; ``None`` when the link rule is off."""
         if not (self.rules.scope.exclude_linked and self.columns.link):
             return None
-        return save_table(linked_orders(self.source, self.columns, self.rules.scope), "linked-orders")
+        orders = self._known_linked
+        if orders is None:
+            orders = linked_orders(self.source, self.columns, self.rules.scope)
+        return self._save(orders, "linked-orders")
 
     @cached_property
     def _broadcast_linked(self) -> bool:
@@ -62,12 +90,12 @@ class Harmonization:
 
     @cached_property
     def order_filter(self) -> OrderFilter | None:
-        """Orders that are too many to send: a filter of bounded size and the few other orders that pass it."""
+        """Orders that are too many to send: a filter of bounded size and, if they are few, the other orders that pass it."""
         if self.linked is None or self._broadcast_linked:
             return None
-        words = save_table(order_words(self.linked, self.linked.count()), "order-words")
-        others = save_table(wrong_hits(self.source, self.columns, self.linked, words), "other-orders")
-        return OrderFilter(words, others) if fits_broadcast(others, *self.others_limits) else None
+        words = self._save(order_words(self.linked, self.linked.count()), "order-words")
+        others = self._save(wrong_hits(self.source, self.columns, self.linked, words), "other-orders")
+        return OrderFilter(words, others if fits_broadcast(others, *self.others_limits) else None)
 
     def keyed_rows(self) -> DataFrame:
         """Source rows with cleaned keys and the reason of exclusion."""
@@ -84,7 +112,7 @@ class Harmonization:
     def decisions(self) -> DataFrame:
         """Saved decisions, with one more row per file and reason for the excluded rows."""
         decided = label_excluded(self.decide(self.value_counts()), self.rules.scope.label)
-        return save_table(decision_columns(decided), "decisions")
+        return self._save(decision_columns(decided), "decisions")
 
     @cached_property
     def lookup(self) -> DataFrame | None:
@@ -99,9 +127,15 @@ class Harmonization:
         about = self.decisions.agg(F.approx_count_distinct(F.struct(*JOIN_KEYS))).first()[0]
         if about > self.limits[0]:
             return None
-        table = save_table(table, "lookup")
+        table = self._save(table, "lookup")
         return table if fits_broadcast(table, *self.limits) else None
 
+    def output_keep(self, keep: Sequence[str] = ()) -> list[str]:
+        """Source columns of the output: all, or the ones to keep with file and position."""
+        if not keep:
+            return []
+        return [*keep, *[c for c in (self.columns.file, self.columns.position) if c and c not in keep]]
+
     def harmonized(self, keep: Sequence[str] = ()) -> DataFrame:
         """Every source row with the 14 columns.
 
@@ -121,13 +155,23 @@ class Harmonization:
 
     # --- reports -------------------------------------------------------------
 
-    def near_misses(self) -> DataFrame:
+    def near_misses(self, vocabulary: DataFrame | None = None) -> DataFrame:
+        """Near misses of the words of the rules, or of a table of words (``word``) of any size."""
+        if vocabulary is not None:
+            return near_misses_among(self.decisions, vocabulary, self.rules.text.max_distance)
         return near_misses(self.decisions, self.rules.text)
 
     def units_not_registered(self) -> DataFrame:
         return reports.units_not_registered(self.decisions, self.units.conversions)
 
 
+def side_by_side(work: dict[str, Callable[[], object]], at_once: int = REPORTS_AT_ONCE) -> dict[str, object]:
+    """Results of independent Spark jobs that are submitted together; the first error is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {name: pool.submit(task) for name, task in work.items()}
+        return {name: task.result() for name, task in running.items()}
+
+
 def write_run(
     job: Harmonization,
     output: str,
@@ -137,35 +181,41 @@ def write_run(
     clustered: bool = False,
     top_n: int = fixed.REVIEW_TOP_N,
     decisions_format: str = "csv",
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """Write harmonized rows, decisions, review lists and run reports below ``output``.
 
-    Gives back the distribution per file with the check of the written rows.
+    The rows become visible when their content is proven, see
+    :func:`assayloom.plans.checked.write_checked`.  ``files`` (``file``) may name the
+    files of the run, so that one without rows is reported too.  Gives back the
+    distribution per file with the check of the written rows.
     """
     spark = job.source.sparkSession
     output = output.rstrip("/")
-    written = None
-    if write_rows:
-        path = f"{output}/harmonized"
-        columns = list(keep) or None
-        position = job.columns.position
-        if columns is not None:
-            columns += [c for c in (job.columns.file, position) if c and c not in columns]
-        rows = job.harmonized(columns or ())
-        sinks.write_harmonized(rows, path, position, clustered, compression, job.columns.file)
-        back = spark.read.schema(rows.schema).option("basePath", path).parquet(path)
-        written = sinks.written_counts(back.withColumn("file", F.col(job.columns.file)))
     decisions = job.decisions
-    sinks.write_decisions(reports.decisions_table(decisions), f"{output}/decisions", decisions_format)
-    top = reports.review_top(decisions, top_n)
-    sinks.write_decisions(top, f"{output}/review/review_top", "csv")
-    near = job.near_misses().orderBy("file", F.desc("n_rows"), "value")
-    sinks.write_report(near, f"{output}/review/near_vocab")
-    distribution = save_table(reports.distribution_comparison(decisions, written), "distribution")
-    sinks.write_report(distribution.orderBy("file"), f"{output}/distribution_comparison")
-    sinks.write_report(reports.code_dictionary(decisions), f"{output}/code_dictionary")
-    sinks.write_report(job.units_not_registered(), f"{output}/units_not_registered")
-    sinks.write_report(reports.conversions_applied(decisions), f"{output}/conversions_applied")
+
+    def rows() -> DataFrame | None:
+        return write_checked(job, f"{output}/harmonized", keep, clustered, compression) if write_rows else None
+
+    def near() -> None:
+        sinks.write_report(job.near_misses().orderBy("file", F.desc("n_rows"), "value"), f"{output}/review/near_vocab")
+
+    done = side_by_side({
+        "rows": rows,
+        "decisions": lambda: sinks.write_decisions(reports.decisions_table(decisions), f"{output}/decisions", decisions_format),
+        "review_top": lambda: sinks.write_decisions(reports.review_top(decisions, top_n), f"{output}/review/review_top", "csv"),
+        "near_vocab": near,
+        "code_dictionary": lambda: sinks.write_report(reports.code_dictionary(decisions), f"{output}/code_dictionary"),
+        "units_not_registered": lambda: sinks.write_report(job.units_not_registered(), f"{output}/units_not_registered"),
+        "conversions_applied": lambda: sinks.write_report(reports.conversions_applied(decisions), f"{output}/conversions_applied"),
+        # a row for each file
+        "distribution": lambda: reports.distribution_comparison(decisions, files=files).toArrow(),
+    })
+    distribution = spark.createDataFrame(done["distribution"])
+    if done["rows"] is not None:
+        distribution = reports.with_written(distribution, done["rows"])
+    distribution = spark.createDataFrame(distribution.orderBy("file").toArrow())
+    sinks.write_report(distribution, f"{output}/distribution_comparison")
     return distribution
 
 
@@ -186,6 +236,6 @@ def harmonize_folder(
     synonyms = read_synonyms(spark, synonyms_csv) if synonyms_csv else synonym_table(spark)
     conversions = read_conversions(spark, conversions_csv) if conversions_csv else conversion_table(spark)
     units = UnitRules.load(synonyms, conversions)
-    rows, columns = read_lab(spark, folder, files, pattern, columns)
-    job = Harmonization(rows, RuleSet(text, scope, columns), units)
-    return write_run(job, output, **options)
+    table = open_lab(spark, folder, files, pattern, columns)
+    with Harmonization(table.rows, RuleSet(text, scope, table.columns), units) as job:
+        return write_run(job, output, files=table.files, **options)

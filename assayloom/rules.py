@@ -10,6 +10,7 @@ either end.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from assayloom import fixed_values as fixed
@@ -19,8 +20,43 @@ from assayloom import fixed_values as fixed
 OPERATORS, COMPARISONS = "|".join(fixed.OPERATOR_TOKENS), "|".join(fixed.COMPARISON_TOKENS)
 
 
-def _words(table) -> str:
-    return "(?:%s)" % "|".join(row[0] for row in table)
+def alternatives(table) -> str:
+    """One group of all patterns of a table, in its order."""
+    patterns = [pattern for pattern, *_ in table]
+    return f"(?:{'|'.join(patterns)})"
+
+
+def always_has_letter(pattern: str) -> bool:
+    """Whether every text that matches has a letter: each alternative has one that is not optional.
+
+    Careful, not complete: classes and escapes count as no letter, nor do groups
+    that capture or look around, and a pattern that is not understood has none.
+    """
+    if re.search(r"\\[^sSdDwWbB.\-+*?()|/^$]|\[[^]]*[\[(]", pattern):
+        return False
+    found, branches, at = False, [], 0
+    while at < len(pattern):
+        sign, has, after = pattern[at], False, at + 1
+        if sign == "\\":
+            after = at + 2
+        elif sign == "[":
+            after = pattern.index("]", at + 2) + 1
+        elif sign == "(":
+            after, depth = at + 1, 1
+            while depth:
+                depth += {"(": 1, ")": -1}.get(pattern[after], 0) if pattern[after - 1] != "\\" else 0
+                after += 1
+            inner = pattern[at + 1 : after - 1]
+            has = inner.startswith("?:") and always_has_letter(inner[2:])
+        elif sign == "|":
+            branches.append(found)
+            found = False
+        else:
+            has = sign.isascii() and sign.isalpha()
+        optional = after < len(pattern) and pattern[after] in "?*{"
+        found = found or (has and not optional)
+        at = after
+    return all([*branches, found])
 
 
 @dataclass(frozen=True)
@@ -41,34 +77,39 @@ class TextRules:
 
     def shape_patterns(self) -> dict[str, str]:
         """Shape -> pattern, in the order in which they are tried."""
-        number = f"(?:{fixed.NUMBER_CORE}|{fixed.NUMBER_LEADING_DOT})"
-        simple = fixed.NUMBER_SIMPLE
-        compare, sign = f"(?:{COMPARISONS})", f"(?:{OPERATORS})"
-        quality = _words(self.qualifier_values)
-        modifier = _words(self.modifiers)
-        any_modifier = _words(self.modifier_ranges + self.modifiers)
-        gloss = f"(?:{fixed.GLOSS})?"
-        percent = r"\s*%?"
-        return {
-            "plain_numeric": rf"^{number}{percent}\z",
-            "operator_numeric": rf"^{sign}\s*{number}{percent}\z",
-            "numeric_range": rf"^{simple}\s*{fixed.RANGE_SEPARATOR}\s*{simple}{percent}\z",
-            "ordinal_plus": r"^\d+\+\z",
-            "verbal_operator_numeric": rf"(?i)^{_words(self.verbal_operators)}\s+{simple}{percent}\z",
-            "qualifier_numeric": rf"(?i)^(?:{simple}{percent}\s*)?(?:{any_modifier}\s+)?"
-                                 rf"{quality}{gloss}(?:\s*{simple}{percent})?\z",
-            "qualifier_ordinal": rf"(?i)^{quality}\s+\d+\+\z",
-            "qualifier_comparison": rf"(?i)^{quality}\s*{compare}\s*{simple}{percent}\z"
-                                    rf"|^{compare}\s*{simple}{percent}\s*{quality}\z",
-            "mixed_text_numeric": fixed.STANDALONE_NUMBER,
-            "qualifier_detection": rf"(?i)^(?:{modifier}\s+)?{_words(self.detection_values)}{gloss}\.?\z",
-            "severity_grade": rf"(?i)^{_words(self.severity_grades)}\z",
-            "short_text": r"\p{L}",
+        parts = {
+            "number": f"(?:{fixed.NUMBER_CORE}|{fixed.NUMBER_LEADING_DOT})",
+            "simple": fixed.NUMBER_SIMPLE,
+            "separator": fixed.RANGE_SEPARATOR,
+            "standalone": fixed.STANDALONE_NUMBER,
+            "gloss": f"(?:{fixed.GLOSS})?",
+            "sign": f"(?:{OPERATORS})",
+            "compare": f"(?:{COMPARISONS})",
+            "verbal": alternatives(self.verbal_operators),
+            "quality": alternatives(self.qualifier_values),
+            "modifier": alternatives(self.modifiers),
+            "any_modifier": alternatives(self.modifier_ranges + self.modifiers),
+            "detection": alternatives(self.detection_values),
+            "severity": alternatives(self.severity_grades),
+        }
+        return {shape: template.format(**parts) for shape, template in fixed.SHAPE_PATTERNS}
+
+    def lettered(self) -> set[str]:
+        """Shapes that only a text with a letter can have, as the word tables stand."""
+        words = {
+            "null_literal": [(self.null_words,)],
+            "verbal_operator_numeric": self.verbal_operators,
+            "qualifier_numeric": self.qualifier_values,
+            "qualifier_ordinal": self.qualifier_values,
+            "qualifier_comparison": self.qualifier_values,
+            "qualifier_detection": self.detection_values,
+            "severity_grade": self.severity_grades,
         }
+        return {shape for shape, table in words.items() if table and all(always_has_letter(row[0]) for row in table)}
 
     def detection_labels(self) -> list[tuple[str, str]]:
         """Detection phrase -> label, for lower-case text without a gloss."""
-        lead = rf"^(?:{_words(self.modifiers)}\s+)?"
+        lead = rf"^(?:{alternatives(self.modifiers)}\s+)?"
         return [(rf"{lead}(?:{word})\.?\z", label) for word, label in self.detection_values]
 
 

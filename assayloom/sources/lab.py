@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,28 +13,34 @@ from pyspark.sql.types import StructType
 
 from assayloom.operators.keys import source
 from assayloom.rules import LabColumns
+from assayloom.sources.catalogue import file_catalogue, file_rows, list_files, literal_path, schemas_of
 
 POSITION = "source_row"
-#: Footers that are read side by side.
-FOOTERS_AT_ONCE = 16
 
 
-def read_lab(
+@dataclass(frozen=True)
+class LabTable:
+    """All rows of some lab files, the column roles, and ``file, n_rows`` of the files (also of empty ones)."""
+
+    rows: DataFrame
+    columns: LabColumns
+    files: DataFrame
+
+
+def open_lab(
     spark: SparkSession,
     folder: str,
     files: Sequence[str] = (),
     pattern: str = "*.parquet*",
     columns: LabColumns = LabColumns(),
-) -> tuple[DataFrame, LabColumns]:
+) -> LabTable:
     """All rows of the listed files, or of every file that matches the pattern.
 
     Each row gets the name of its file and its position in it.  A listed file
     that does not exist is an error, and so is a file without a column that has
     a role.  Files may differ in their other columns and in types: files of one
     schema are one scan, the scans are united by name, and where types differ
-    the column is read as text.  One footer is read per file.
-
-    Returns the rows and the column roles with the position filled in.
+    the column is read as text.  All footers are read by one job.
     """
     base = folder.rstrip("/")
     paths = [f"{base}/{name}" for name in files] if files else list_files(spark, folder, pattern)
@@ -44,7 +48,8 @@ def read_lab(
         raise ValueError(f"no file in {folder} matches {pattern}")
     # folders such as year=2020 are columns too
     options = {"basePath": base} if not files and any("=" in p.split("/", 3)[-1] for p in paths) else {}
-    schemas = footers(spark, paths, options)
+    catalogue = file_catalogue(spark, paths).toArrow()
+    schemas = schemas_of(spark, catalogue, options)
     check_files(schemas, columns)
 
     groups: dict[str, list[str]] = {}
@@ -63,7 +68,19 @@ def read_lab(
 
     parts = [scan(StructType.fromJson(json.loads(schema)), where) for schema, where in groups.items()]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return rows, replace(columns, position=POSITION)
+    return LabTable(rows, replace(columns, position=POSITION), file_rows(spark, catalogue))
+
+
+def read_lab(
+    spark: SparkSession,
+    folder: str,
+    files: Sequence[str] = (),
+    pattern: str = "*.parquet*",
+    columns: LabColumns = LabColumns(),
+) -> tuple[DataFrame, LabColumns]:
+    """Rows of :func:`open_lab` and the column roles with the position filled in."""
+    table = open_lab(spark, folder, files, pattern, columns)
+    return table.rows, table.columns
 
 
 def file_name() -> Column:
@@ -71,26 +88,6 @@ def file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths of the files; only their names are read."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    return sorted(r["path"] for r in listed.collect())
-
-
-def literal_path(path: str) -> str:
-    """The path with its glob signs taken literally."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
-def footers(spark: SparkSession, paths: Sequence[str], options: dict[str, str]) -> dict[str, StructType]:
-    """Schema of each file."""
-    def schema(path: str) -> StructType:
-        return spark.read.options(**options).parquet(literal_path(path)).schema
-
-    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
-        return dict(zip(paths, pool.map(schema, paths)))
-
-
 def check_files(schemas: dict[str, StructType], columns: LabColumns) -> None:
     """Refuse files in which a configured column is missing; names all of them."""
     needed = [name for name in (columns.code, columns.result, columns.unit, columns.name, columns.link) if name]

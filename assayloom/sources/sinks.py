@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from assayloom.operators.keys import source
 
 FILE_COLUMN = "file"
 
@@ -38,6 +41,12 @@ def write_harmonized(
     writer.parquet(path)
 
 
+def read_harmonized(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Written rows with the columns of the table that was written."""
+    # the column of the folders comes last when they are read
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select([source(c) for c in schema.names])
+
+
 def written_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(FILE_COLUMN).agg(F.count(F.lit(1)).alias("rows_written"))
 

@@ -42,19 +42,53 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def new_name(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex[:12]}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}/{new_name(name)}"
+
+
+def _on_store(spark: SparkSession, path: str):
+    """The path and its store."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a saved table that nothing reads any more."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    where, store = _on_store(spark, path)
+    store.delete(where, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, store = _on_store(spark, path)
+    return store.exists(where)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    where, store = _on_store(spark, path)
+    return [status.getPath().getName() for status in store.listStatus(where)] if store.exists(where) else []
+
+
+def staged_path(path: str) -> str:
+    """Where a folder is written before it is visible: readers skip names that begin with an underscore."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_staged-{name}"
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Give a finished folder its name."""
+    to, store = _on_store(spark, path)
+    if not store.rename(_on_store(spark, staged)[0], to):
+        raise OSError(f"cannot rename {staged} to {path}")
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
+def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write the table to the shared folder and read it from there."""
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from assayloom import fixed_values as fixed
+
 LAB_VIEW = r"""
 SELECT
   concat('lab_', year(l_shipdate)) AS file,
@@ -49,10 +53,71 @@ FROM lineitem
 COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"]
 
 
-def lab_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spellings(pattern: str) -> list[str]:
+    """Texts that a word pattern matches: every alternative, with and without its optional parts."""
+    pattern = re.sub(r"\\s[+*]", " ", pattern).replace(r"[-\s]?", "-?")
+    inner = re.search(r"\(\?:([^()]*)\)(\??)|([\w-])\?", pattern)
+    if inner is None:
+        return pattern.split("|")
+    if "|" in pattern[: inner.start()]:
+        head, rest = pattern.split("|", 1)
+        return [*spellings(head), *spellings(rest)]
+    parts = inner[1].split("|") if inner[1] is not None else [inner[3]]
+    if inner[2] or inner[3]:
+        parts = [*parts, ""]
+    return [text for part in parts for text in spellings(pattern[: inner.start()] + part + pattern[inner.end() :])]
+
+
+def _wide_texts() -> list[str]:
+    """Results that reach every row of the word tables, and every sign."""
+    first = [spellings(row[0])[0] for row in fixed.QUALIFIER_VALUES]
+    verbal = [f"{text} {n}" for n, row in enumerate(fixed.VERBAL_OPERATORS, 3) for text in spellings(row[0])]
+    values = [text for row in fixed.QUALIFIER_VALUES for text in spellings(row[0])]
+    modifiers = [text for row in fixed.MODIFIER_RANGES + fixed.MODIFIERS for text in spellings(row[0])]
+    modified = [f"{text} {first[i % len(first)]}" for i, text in enumerate(modifiers)]
+    found = [text for row in fixed.DETECTION_VALUES for text in spellings(row[0])]
+    detected = [f"{text} {found[i % len(found)]}" for i, text in enumerate(spellings("|".join(row[0] for row in fixed.MODIFIERS)))]
+    grades = [text for row in fixed.SEVERITY_GRADES for text in spellings(row[0])]
+    signs = ["= 5", "=0.5 %", "= 1,234", "Positive = 3", "= 4 Negative", "<=7", ">= 2.50", "< / = 9", "12.", "1+.", "3\u20134", "\u0e55", "\u0e55.\u0e51 %"]
+    numbers = [f"{n}.{n % 10}" for n in range(1, 300)]
+    return [*signs, *verbal, *values, *modified, *found, *detected, *grades, *numbers]
+
+
+def _sql_text(value: str) -> str:
+    """A literal that Spark and DuckDB read alike."""
+    parts = ["'" + part.replace("'", "\' || chr(39) || \'") + "'" for part in value.split("\\")]
+    return " || chr(92) || ".join(parts)
+
+
+def _sql_table(rows: list[tuple[str, ...]]) -> str:
+    return ", ".join(f"({i}, {', '.join(map(_sql_text, row))})" for i, row in enumerate(rows))
+
+
+_TEXTS = [(text,) for text in _wide_texts()]
+_PAIRS = [(row[0], row[1]) for row in fixed.UNIT_CONVERSIONS]
+_UNITS = [(row[0],) for row in fixed.UNIT_SYNONYMS]
+
+#: A second view with every row of the word tables, of the conversions and of the unit spellings.
+WIDE_VIEW = f"""
+SELECT
+  concat('wide_', year(l_shipdate)) AS file,
+  l_orderkey AS OBS_ID,
+  l_linenumber AS LINE_NO,
+  CASE WHEN l_orderkey % 20 = 0 AND l_partkey % 2 = 0 THEN 'MB001' ELSE pair_code END AS CODE_TEST,
+  CASE WHEN l_suppkey % 3 = 0 THEN concat('Test ', l_partkey % 11) ELSE NULL END AS SHORT_TEST,
+  result_text AS RESULT_VAL,
+  CASE WHEN l_suppkey % 4 = 0 THEN other_unit ELSE pair_unit END AS UNIT
+FROM lineitem
+  JOIN (VALUES {_sql_table(_TEXTS)}) AS texts(text_no, result_text) ON (l_orderkey * 31 + l_partkey * 7 + l_linenumber) % {len(_TEXTS)} = text_no
+  JOIN (VALUES {_sql_table(_PAIRS)}) AS pairs(pair_no, pair_code, pair_unit) ON (l_partkey + l_suppkey * 13) % {len(_PAIRS)} = pair_no
+  JOIN (VALUES {_sql_table(_UNITS)}) AS units(unit_no, other_unit) ON (l_partkey * 3 + l_linenumber) % {len(_UNITS)} = unit_no
+"""
+
+
+def lab_rows(spark: SparkSession, sf_dir: str, view: str = LAB_VIEW) -> DataFrame:
     """The view over ``lineitem``.  A scan with fewer splits than cores is spread over the cores first."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*COLUMNS)
     cores = spark.sparkContext.defaultParallelism
     if lineitem.rdd.getNumPartitions() < cores:
         lineitem = lineitem.repartition(cores, "l_orderkey", "l_partkey", "l_linenumber")
-    return spark.sql(LAB_VIEW.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lineitem)
+    return spark.sql(view.replace("FROM lineitem", "FROM {lineitem}"), lineitem=lineitem)

@@ -7,7 +7,7 @@ statements start from the lab view over ``lineitem``.
 from __future__ import annotations
 
 from assayloom import fixed_values as fixed
-from labview import LAB_VIEW
+from labview import LAB_VIEW, WIDE_VIEW
 
 SPACE = "".join(
     map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
@@ -22,12 +22,17 @@ def double(value) -> str:
     return "NULL::DOUBLE" if value is None else f"'{value!r}'::DOUBLE"
 
 
+def pattern_text(pattern: str) -> str:
+    """A pattern as text; digits of any script, as the rules want them."""
+    return text(pattern.replace(r"\d", r"\p{Nd}"))
+
+
 def has(column: str, pattern: str) -> str:
-    return f"regexp_matches({column}, {text(pattern)})"
+    return f"regexp_matches({column}, {pattern_text(pattern)})"
 
 
 def one(column: str, pattern: str, group: int = 0) -> str:
-    return f"nullif(regexp_extract({column}, {text(pattern)}, {group}), '')"
+    return f"nullif(regexp_extract({column}, {pattern_text(pattern)}, {group}), '')"
 
 
 def words(table) -> str:
@@ -58,7 +63,7 @@ MARKS = r"""[!.,'"\\\[\]]+"""
 def clean(column: str) -> str:
     out = f"trim({column}::VARCHAR, {text(SPACE)})"
     for pattern in (fixed.NUMERIC_TRAILING_DOT, rf"^{MARKS}(\p{{L}}+)$", rf"^(\p{{L}}+){MARKS}$"):
-        out = f"regexp_replace({out}, {text(pattern)}, '\\1')"
+        out = f"regexp_replace({out}, {pattern_text(pattern)}, '\\1')"
     return out
 
 
@@ -190,7 +195,7 @@ FROM acted"""),
 }
 
 
-def with_ctes(*names: str) -> str:
+def with_ctes(*names: str, view: str = LAB_VIEW) -> str:
     """WITH clause of the named tables and all they need, in the order of the list above."""
     by_name = {full.split("(")[0]: full for full in CTES}
     wanted, queue = set(), list(names)
@@ -199,7 +204,8 @@ def with_ctes(*names: str) -> str:
         if name not in wanted:
             wanted.add(name)
             queue += CTES[by_name[name]][0]
-    parts = [f"{full} AS ({body})" for full, (_, body) in CTES.items() if full.split("(")[0] in wanted]
+    bodies = {full: body for full, (_, body) in CTES.items()} | {"lab": view}
+    parts = [f"{full} AS ({body})" for full, body in bodies.items() if full.split("(")[0] in wanted]
     return "WITH " + ",\n".join(parts) + "\n"
 
 
@@ -305,6 +311,7 @@ FROM (SELECT *, CASE l_linenumber % 5 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THE
           "QUALIFY row_number() OVER (PARTITION BY file ORDER BY n_rows DESC, result NULLS FIRST, "
           f"unit_recorded NULLS FIRST, code NULLS FIRST, name NULLS FIRST) <= {fixed.REVIEW_TOP_N}",
         "near_miss": with_ctes("decided") + near_miss_sql(),
+        "near_miss_indexed": with_ctes("decided") + near_miss_sql(),
         "unit_pairs": with_ctes("num")
         + f"SELECT file, code, unit, conversion_status, sum(n_rows)::BIGINT AS n_rows, {NAMES} AS test_names "
           "FROM num GROUP BY file, code, unit, conversion_status",
@@ -333,16 +340,57 @@ FROM (SELECT *, CASE l_linenumber % 5 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THE
         + f"SELECT {key('unit_recorded')} AS unit_key, count(DISTINCT unit_recorded) AS n_targets, "
           "min(unit_recorded) AS first_target, max(unit_recorded) AS last_target FROM cleaned "
           "WHERE unit_recorded IS NOT NULL GROUP BY 1 HAVING count(DISTINCT unit_recorded) > 1",
+        "code_dictionary_long": d + "SELECT code, cell, text, sum(n_rows)::BIGINT AS n_rows FROM (" + " UNION ALL ".join(
+            f"SELECT code, '{cell}' AS cell, nullif({column}, '') AS text, n_rows FROM decided" for cell, column in (
+                ("test_names", "name"), ("units_recorded", "unit_recorded"), ("units_used", "unit")))
+        + ") WHERE text IS NOT NULL GROUP BY ALL",
         "audit_registry": audit_registry_sql(),
         "document_shapes": document_sql(),
+        # through files: the same rows as without
+        "folder_rows": with_ctes("lab") + "SELECT file, OBS_ID, LINE_NO, CODE_TEST, SHORT_TEST, RESULT_VAL, UNIT FROM lab",
+        "folder_harmonized": harmonized_sql(),
+        "folder_distribution": with_ctes("shares") + "SELECT * FROM shares",
+        "written_content": with_ctes("totals")
+        + "SELECT file, total_rows, total_rows AS rows_written, TRUE AS row_count_match, TRUE AS source_match, "
+          "TRUE AS decisions_match FROM totals",
+        "periods_update": d + f"SELECT file, result, unit_recorded, code, name, n_rows, {NEW} FROM decided",
+        "decisions_file": d + f"SELECT file, result, unit_recorded, code, name, n_rows, {NEW} FROM decided",
+        "report_file": d
+        + f"SELECT code, {NAMES} AS test_names, {joined('unit_recorded')} AS units_recorded, "
+          f"{joined('unit')} AS units_used, sum(n_rows)::BIGINT AS n_rows, count(DISTINCT file) AS n_files "
+          "FROM decided GROUP BY code",
+        "synonyms_file": with_ctes("lab") + f"""SELECT trim(UNIT, {text(SPACE)}) AS unit_as_recorded,
+  CASE WHEN n % 3 = 0 THEN '' ELSE upper(trim(UNIT, {text(SPACE)})) END AS unit_to_use
+FROM (SELECT UNIT, count(*) AS n FROM lab WHERE UNIT IS NOT NULL GROUP BY UNIT) WHERE trim(UNIT, {text(SPACE)}) <> ''""",
+        "conversions_file": with_ctes("lab") + f"""SELECT CODE_TEST AS code, trim(UNIT, {text(SPACE)}) AS unit_source, 'mg/dL' AS unit_target,
+  (n % 5)::VARCHAR AS method, CASE WHEN n % 3 = 0 THEN NULL ELSE n / 8.0::DOUBLE END AS factor,
+  CASE WHEN n % 7 = 0 THEN NULL ELSE n::DOUBLE END AS molar_mass
+FROM (SELECT CODE_TEST, UNIT, count(*) AS n FROM lab WHERE CODE_TEST IS NOT NULL AND UNIT IS NOT NULL GROUP BY CODE_TEST, UNIT)""",
+        "text_files": text_files_sql(),
+        "wide_decisions": with_ctes("decided", view=WIDE_VIEW)
+        + f"SELECT file, result, unit_recorded, code, name, n_rows, {NEW} FROM decided",
+        "wide_harmonized": harmonized_sql(WIDE_VIEW),
+        "wide_parse_failures": with_ctes("sums", view=WIDE_VIEW) + "SELECT file, parse_failures FROM sums",
+        "wide_conversions_applied": with_ctes("num", view=WIDE_VIEW)
+        + f"SELECT code, unit AS unit_source, unit_std AS unit_target, {NAMES} AS test_names, "
+          f"sum(n_rows)::BIGINT AS n_rows, {FILES} FROM num WHERE conversion_status = 'convert' "
+          "GROUP BY code, unit, unit_std",
     }
 
 
-def harmonized_sql() -> str:
+def text_files_sql() -> str:
+    """Texts of three tables, counted by table and shape."""
+    tables = {"documents": "doc_id", "benchmark": "item_id", "conversations": "conv_id"}
+    rows = " UNION ALL ".join(f"SELECT '{name}.parquet' AS file, {clean('text')} AS result FROM {name}" for name in tables)
+    return f"""SELECT file, shape, count(*) AS n_rows, sum(length(result))::BIGINT AS n_chars
+FROM (SELECT file, result, {shape_case('result')} AS shape FROM ({rows})) GROUP BY file, shape"""
+
+
+def harmonized_sql(view: str = LAB_VIEW) -> str:
     keys = ("result", "unit_recorded", "code")
     on = " AND ".join(f"s.{k} IS NOT DISTINCT FROM d.{k}" for k in keys)
     rest = ", ".join(f"d.{c.strip()}" for c in NEW.split(",")[1:])
-    return with_ctes("lab", "linked", "decided") + f""", s AS (
+    return with_ctes("lab", "linked", "decided", view=view) + f""", s AS (
   SELECT lab.*, CASE WHEN CODE_TEST LIKE 'MB%' OR OBS_ID IN (SELECT OBS_ID FROM linked) THEN 1 END AS gone,
     {clean('RESULT_VAL')} AS result, nullif(trim(UNIT, {text(SPACE)}), '') AS unit_clean, CODE_TEST AS code FROM lab),
 look AS (SELECT DISTINCT result, unit_recorded, code, {NEW} FROM decided)
@@ -379,12 +427,21 @@ UNION ALL SELECT code, unit_source, unit_target, 'target unit is not in the agre
 UNION ALL SELECT code, unit_source, unit_target, 'unknown method' FROM proposed WHERE method NOT IN ('0','1','4','5','9')
 UNION ALL SELECT code, unit_source, unit_target, 'factor is missing' FROM proposed WHERE method IN ('1','4','5','9') AND factor IS NULL
 UNION ALL SELECT code, unit_source, unit_target, 'molar mass is missing' FROM proposed WHERE method IN ('4','5') AND molar_mass IS NULL
-UNION ALL SELECT code, unit_source, NULL, 'duplicate pair' FROM proposed GROUP BY code, unit_source HAVING count(*) > 1"""
+UNION ALL SELECT code, unit_source, NULL, 'duplicate pair' FROM proposed GROUP BY code, unit_source HAVING count(*) > 1
+UNION ALL SELECT NULL, min(unit), max(unit), 'spellings of one unit differ' FROM (
+    SELECT unit_source AS unit FROM proposed UNION SELECT unit_target FROM proposed)
+  WHERE unit <> '' AND {key('unit')} NOT IN (SELECT k FROM agreed) GROUP BY {key('unit')} HAVING count(DISTINCT unit) > 1"""
 
 
 def document_sql() -> str:
-    return f"""WITH cleaned AS (SELECT doc_id, {clean('text')} AS result FROM documents),
-shaped AS (SELECT doc_id, length(result) AS n_chars, {shape_case('result')} AS shape FROM cleaned)
-SELECT 'documents.parquet' AS file, doc_id, n_chars, shape,
-  CASE WHEN shape IN {in_list(fixed.MISSING_SHAPES)} THEN 'missing'
-    WHEN shape IN {in_list(fixed.REVIEW_SHAPES)} THEN 'review' ELSE 'split' END AS split_action FROM shaped"""
+    """Documents as lab rows: the language is the code, the source the unit; no code has an excluded prefix."""
+    return with_ctes("spellings") + f""", cleaned AS (SELECT doc_id, lang AS code, {clean('text')} AS result,
+    nullif(trim(source, {text(SPACE)}), '') AS unit_recorded FROM documents),
+canon AS (SELECT c.*, nullif(coalesce(s.spelling, c.unit_recorded), '') AS canonical
+  FROM cleaned c LEFT JOIN spellings s ON s.unit_key = {key('c.unit_recorded')}),
+shaped AS (SELECT doc_id, result, canonical, length(result) AS n_chars, CASE WHEN code LIKE 'MB%' THEN 'microbiology'
+  ELSE {shape_case('result')} END AS shape FROM canon),
+acted AS (SELECT *, {ACTION} AS split_action FROM shaped)
+SELECT 'documents.parquet' AS file, doc_id, n_chars, shape, split_action,
+  CASE WHEN split_action = 'split' AND shape NOT IN {in_list(fixed.QUALITATIVE_SHAPES + ['ordinal_plus'])} THEN
+    CASE WHEN result LIKE '%\%' ESCAPE '\' THEN '%' ELSE canonical END END AS unit FROM acted"""

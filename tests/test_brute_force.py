@@ -137,3 +137,27 @@ def test_random_texts(judge):
         for column, want in typed(v, kind).items():
             assert got[column] == want, (text, kind, column, want, got[column])
     assert seen == set(fixed.SHAPES)
+
+
+def test_signature_skips_no_pattern_that_matches(spark):
+    """Shapes with and without the signature, also for words of one's own."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from assayloom.functions.shape import shape as shape_of, signature
+    from assayloom.rules import TextRules, always_has_letter
+
+    own = replace(
+        TextRules(), null_words="[0-9]x?|-", line_break="@", verbal_operators=((r"\+\+", ">", "Up"), ("over", ">", "Over")),
+        qualifier_values=(("[+]{2}", "High"), ("5?x?", "Maybe"), ("positive", "Positive")), severity_grades=(("~|few", "Few"),),
+        detection_values=((r"\p{Nd}{3}", "Code"), ("seen", "Positive")))
+    values = [t.strip() for t in texts(6000, 11)] + ["++ 5", "++", "5", "x", "~", "345", "5 3+", "\u0e55", "a@b", "-", "7x", "5x 4+", "<5 ++", "E", "e5", "1e", "*0"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", signature(F.col("v"), 81).alias("b"))
+    for rules in (TextRules(), own):
+        both = df.select("v", shape_of(F.col("v"), rules).alias("slow"), shape_of(F.col("v"), rules, F.col("b")).alias("fast"))
+        assert both.filter("not slow <=> fast").collect() == []
+    assert own.lettered() == set() and len(TextRules().lettered()) == 7
+    sure = ["over", r"less\s+than", "non[-x]?reactive", "(?:a|b)c?", "borderli(?:ne)?", "a|b"]
+    unsure = ["a?", "a|5", "[ab]", "(a)", r"\d", "(?:a|5)", "(?:ab)*", "x{0,2}", r"\x41", "[a[b]c]", "(?:[(]a)", ""]
+    assert [always_has_letter(p) for p in sure + unsure] == [True] * len(sure) + [False] * len(unsure)

@@ -84,6 +84,69 @@ def test_near_misses_against_brute_force(job):
     assert ("f", "Male", "many", 2, 3, 2) in want
 
 
+def test_near_misses_in_a_large_vocabulary(spark, job):
+    """50,000 words, against every pair of words with a plain edit distance."""
+    import random
+
+    from assayloom.operators.near_miss import near_misses_among
+
+    rng = random.Random(8)
+    letters = "abcdefgh"
+    words = {"".join(rng.choice(letters) for _ in range(rng.randint(2, 12))) for _ in range(52_000)}
+    words = sorted(words)[:50_000]
+    values = [w[:i] + w[i + 2 :] for w in rng.sample(words, 40) for i in (1,)] + ["xx" + w for w in rng.sample(words, 20)]
+    values += [w.upper() for w in rng.sample(words, 10)] + ["zzzzzzzz", "Zebra-like"]
+    values = sorted({v for v in values if 4 <= len(v) <= 20})
+    decisions = job([r for v in values for r in row("f", "A", None, v, None)]).decisions
+    review = {r["result"] for r in decisions.filter("split_action = 'review'").collect()}
+
+    def distance(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, before = [i], last
+            for j, y in enumerate(b, 1):
+                last.append(min(before[j - 1] + (x != y), before[j] + 1, last[-1] + 1))
+        return last[-1]
+
+    want = set()
+    for v in values:
+        if v in review:
+            near = [w for w in words if abs(len(w) - len(v)) <= 2 and len(set(w) ^ set(v.lower())) <= 4]
+            best = min(((distance(v.lower(), w), w) for w in near), default=(9, ""))
+            if 0 < best[0] <= 2:
+                want.add(("f", v, best[1], best[0], 1, 1))
+    vocabulary = spark.createDataFrame([(w.title(),) for w in words] + [(None,), ("q" * 400,)], "word string")
+    assert {tuple(r) for r in near_misses_among(decisions, vocabulary).collect()} == want and len(want) > 20
+    assert near_misses_among(decisions, vocabulary.limit(0)).count() == 0
+
+
+def test_cells_of_many_names(job):
+    """Texts in byte order whatever their first letters; rows without a code are one key."""
+    from assayloom import fixed_values as fixed
+
+    names = ["b", "a | c", "Zeta", "é", "ab", "abcdefg2", "abcdefg10", "abcdefg", "", None, "a"]
+    rows = [r for i, n in enumerate(names) for r in row(f"f{i % 3}", None if i % 2 else "A", n, "5", "g", 2)]
+    rows += row("f9", None, "abcdefg10", "6", "g", 3)
+    d = job(rows).decisions
+    got = {r["code"]: r.asDict() for r in reports.code_dictionary(d).collect()}
+    for code in (None, "A"):
+        mine = [r for r in rows if r[2] == code]
+        texts = sorted({r[3] for r in mine if r[3]}, key=lambda t: t.encode())
+        assert got[code]["test_names"] == fixed.NAME_SEPARATOR.join(texts)
+        assert (got[code]["n_rows"], got[code]["n_files"]) == (len(mine), len({r[0] for r in mine}))
+    long = {(r["code"], r["text"]): r["n_rows"] for r in reports.dictionary_entries(d).filter("cell = 'test_names'").collect()}
+    assert long[(None, "abcdefg10")] == 3 and long[("A", "abcdefg10")] == 2 and (None, "") not in long
+    plan = reports.code_dictionary(d)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan
+
+
+def test_file_without_rows(spark, job):
+    files = spark.createDataFrame([("f",), ("empty",)], "file string")
+    got = {r["file"]: r for r in reports.distribution_comparison(job(row("f", "A", None, "5", "g")).decisions, files=files).collect()}
+    assert (got["empty"]["total_rows"], got["empty"]["codes_in_review"], got["empty"]["split_pct"]) == (0, 0, None)
+    assert got["f"]["split_pct"] == 100.0
+
+
 def test_unit_reports(job, units):
     rows = (
         row("2011", "200106", "LDL", "5", "mmol/L", 3) + row("2012", "200106", "LDL chol", "5", "mg/dL", 2)

@@ -72,13 +72,52 @@ def test_shuffled_link_join_agrees(spark, job):
     rows = ROWS + [("a", "1", "200106", None, str(i), "mg/dL") for i in range(300)]
     rows += [("a", None, "200106", None, str(i), "mg/dL") for i in range(300)]
     wide, narrow = job(rows), job(rows, broadcast_rows=0)
-    narrow.others_limits = (-1, -1)  # no filter can tell the orders apart
+    narrow.others_limits = (-1, -1)  # the filter alone can not tell the orders apart
     plan = narrow.keyed_rows()._jdf.queryExecution().optimizedPlan().toString()
-    assert not narrow._broadcast_linked and "_lab_salt" in plan and "broadcast" not in plan
+    assert not narrow._broadcast_linked and narrow.order_filter.others is None and "_lab_salt" in plan
     assert multiset(wide.harmonized_in_place()) == multiset(narrow.harmonized_in_place())
     assert multiset(wide.decisions) == multiset(narrow.decisions)
 
 
+def test_only_rows_that_pass_the_filter_are_shuffled(spark, lab, units):
+    """The orders are too many to send and so are the others that pass: rows that fail the filter stay in scan order."""
+    n = 20_000
+    rows = [("a", str(i) if i % 3 else "7", "MB1" if i % 40 == 0 else "A", None, str(i), "g") for i in range(n)]
+    base = lab(rows).withColumn("at", F.monotonically_increasing_id()).coalesce(1)
+    sent = Harmonization(base, RuleSet(columns=LabColumns(position="at")), units)
+    apart = Harmonization(base, RuleSet(columns=LabColumns(position="at")), units, broadcast_rows=0)
+    apart.others_limits = (-1, -1)
+    flags = lambda j: [(r["at"], r["_lab_excluded_by"]) for r in j.keyed_rows().select("at", "_lab_excluded_by").collect()]
+    got = flags(apart)
+    assert sorted(got) == sorted(flags(sent))
+    keyed = apart.keyed_rows()
+    keyed.write.format("noop").mode("overwrite").save()
+    passing = apart.order_filter.words.count() and keyed.filter("_lab_excluded_by = 'link'").count()
+    # those in front of the join, in the order of the scan, are all that fail the filter
+    still = next(i for i in range(1, n) if got[i][0] < got[i - 1][0])
+    assert still > n / 4 and n - still >= passing and [f for _, f in got[:still]].count("link") == 0
+    text = keyed._jdf.queryExecution().optimizedPlan().toString()
+    left = text[text.index("Join LeftOuter"):]
+    assert "rightHint=(strategy=merge)" in left and "Union" in text[:text.index("rightHint=(strategy=merge)")]
+
+
+def test_one_number_is_the_hashed_key_of_the_lookup(job):
+    j = job(ROWS)
+    text = j.harmonized()._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in text.splitlines() if "_lab_lookup_key" in line and "BroadcastHashJoin" in line)
+    keys = join[join.index("BroadcastHashJoin") :].split("], ", 2)
+    assert "_lab_row_key" in keys[0] and "," not in keys[0].split("[")[1] and "_lab_lookup_key" in keys[1] and "," not in keys[1].split("[")[1]
+
+
+def test_equal_keys_of_different_values_do_no_harm(job, monkeypatch):
+    from assayloom.operators import attach as module
+
+    j = job(ROWS + [("b", "4", "200106", None, str(i), "mmol/L") for i in range(40)])
+    want = multiset(j.harmonized_in_place())
+    monkeypatch.setattr(module, "value_key", lambda *_: F.lit(1).cast("long"))
+    assert multiset(j.harmonized()) == want
+
+
 def test_result_does_not_depend_on_partitions(lab, units):
     base = lab(ROWS * 20)
     got = [multiset(Harmonization(base.repartition(n), units=units).decisions) for n in (1, 5)]

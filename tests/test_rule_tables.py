@@ -40,7 +40,11 @@ def test_spelling_precedence(spark):
     known = dict(known_spellings(synonyms, conversions).collect())
     assert known == {"mg/dl": "mg/dL", "old": "New", "nothing": "", "new": "New", "mmol/l": "mmol/L", "x": "x"}
     clash = audits.spelling_clashes(conversions, synonyms).collect()
-    assert [tuple(r) for r in clash] == [("mmol/l", 2)]
+    assert [tuple(r) for r in clash] == [("mmol/l", "MMOL/L", "mmol/L", 2)]
+    found = audits.conversion_audit(conversions, synonyms).filter("problem like 'spellings%'").collect()
+    assert [tuple(r) for r in found] == [(None, "MMOL/L", "mmol/L", "spellings of one unit differ")]
+    # a clash asks for a synonym row, it does not refuse the table
+    assert audits.conversion_problems(conversions, synonyms).count() == 0
 
 
 def test_methods(spark):
@@ -84,6 +88,7 @@ def test_rule_tables_too_large_to_broadcast(spark, lab, monkeypatch):
     rows = lab([("f", str(i), "200106", "n", "3.5", u) for i, u in enumerate(["MMOL / L", "mg%", None, "odd"])])
     small = Harmonization(rows, units=UnitRules.default(spark))
     monkeypatch.setattr(module, "RULE_ROWS", 1)
+    monkeypatch.setattr(module, "_defaults", {})
     large = Harmonization(rows, units=UnitRules.default(spark))
     hinted = [j.harmonized_in_place()._jdf.queryExecution().logical().toString().count("ResolvedHint") for j in (small, large)]
     assert hinted[0] - hinted[1] == 2
