@@ -302,11 +302,7 @@ def folder_harmonized(s: Study) -> DataFrame:
 def folder_distribution(s: Study) -> DataFrame:
     """The report that the whole run wrote."""
     schema = reports.distribution_comparison(s.decisions).schema
-    return from_csv(s.spark, f"{s.run}/distribution_comparison", schema).withColumn("file", period())
-
-
-def from_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True, basePath=path).csv(path)
+    return sinks.read_csv_table(s.spark, f"{s.run}/distribution_comparison", schema).withColumn("file", period())
 
 
 def written_content(s: Study) -> DataFrame:
@@ -325,13 +321,13 @@ def periods_update(s: Study) -> DataFrame:
 def decisions_file(s: Study) -> DataFrame:
     table, path = reports.decisions_table(s.decisions), new_path(s.spark, "decisions-csv")
     sinks.write_decisions(table, path, "csv")
-    return from_csv(s.spark, path, table.schema)
+    return sinks.read_csv_table(s.spark, path, table.schema)
 
 
 def report_file(s: Study) -> DataFrame:
     report, path = reports.code_dictionary(s.decisions), new_path(s.spark, "report-csv")
     sinks.write_report(report, path)
-    return from_csv(s.spark, path, report.schema)
+    return sinks.read_csv_table(s.spark, path, report.schema)
 
 
 def synonyms_file(s: Study) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql.types import StructType
 from assayloom.operators.keys import source
 
 FILE_COLUMN = "file"
+#: White space at the ends of a text is part of it.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_harmonized(
@@ -57,11 +59,17 @@ def write_decisions(decisions: DataFrame, path: str, fmt: str = "parquet") -> No
     ordered = decisions.orderBy(FILE_COLUMN, F.desc("n_rows"), *keys)
     writer = ordered.write.partitionBy(FILE_COLUMN)
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.options(**CSV).csv(path)
     else:
         writer.parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
     """CSV with a header, in the order of the report."""
-    report.write.option("header", True).option("escape", '"').csv(path)
+    report.write.options(**CSV).csv(path)
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that was written as CSV, with missing and empty texts apart."""
+    apart = {"multiLine": True, "nullValue": "\0", "emptyValue": "", "basePath": path}
+    return spark.read.schema(schema).options(**CSV, **apart).csv(path)

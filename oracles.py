@@ -444,4 +444,4 @@ shaped AS (SELECT doc_id, result, canonical, length(result) AS n_chars, CASE WHE
 acted AS (SELECT *, {ACTION} AS split_action FROM shaped)
 SELECT 'documents.parquet' AS file, doc_id, n_chars, shape, split_action,
   CASE WHEN split_action = 'split' AND shape NOT IN {in_list(fixed.QUALITATIVE_SHAPES + ['ordinal_plus'])} THEN
-    CASE WHEN result LIKE '%\%' ESCAPE '\' THEN '%' ELSE canonical END END AS unit FROM acted"""
+    CASE WHEN suffix(result, '%') THEN '%' ELSE canonical END END AS unit FROM acted"""

@@ -136,6 +136,14 @@ def test_decisions_are_written_by_rows(spark, folder, tmp_path):
     assert got == sorted(got, reverse=True) and len(got) == decisions.filter(F.col("file").like("lab_01%")).count()
 
 
+def test_csv_keeps_missing_and_empty_texts_apart(spark, tmp_path):
+    df = spark.createDataFrame([("", None, 1), (None, "", 2), ('x"y', "1,2\nz", 3), ("\\", " s ", 4), (None, None, 5)], "p string, q string, n long")
+    path = str(tmp_path / "t")
+    sinks.write_report(df, path)
+    got = sorted(tuple(r) for r in sinks.read_csv_table(spark, path, df.schema).select("n", "p", "q").collect())
+    assert got == [(1, "", None), (2, None, ""), (3, 'x"y', "1,2\nz"), (4, "\\", " s "), (5, None, None)]
+
+
 def lab_file(path, rows, names):
     import pyarrow as pa
     import pyarrow.parquet as pq
