@@ -18,6 +18,7 @@ equally long, so close ones have a large inner product.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ NEIGHBOURS = 24
 BUCKET_ROWS = 2048
 TABLES, FROM_A_TABLE = 8, 16
 DESCENTS = 3
+#: A round is done in so many parts, by the vectors that are linked to, which bounds what is on disk at a time.
+PARTS = 2
 #: Vectors that have a link to one vector and are compared in one group with each other.
 GROUP_LINKS = 64
 POOL = 128
@@ -145,8 +148,16 @@ def number_vectors(rows: DataFrame, k: int) -> Saved | None:
     # close vectors get close numbers
     along = coded.repartitionByRange("space", F.col("buckets")[0], F.xxhash64("vector"))
     along = along.sortWithinPartitions("space", F.col("buckets")[0], F.xxhash64("vector"))
-    points = Saved(along.withColumn("node", F.monotonically_increasing_id()), "points", lean=True)
+    points = Saved(along.withColumn("_at", F.monotonically_increasing_id()), "points", lean=True)
     classes.discard()
+    # numbers without gaps, whatever the partitions: a row for each of them
+    part = F.shiftright("_at", 33)
+    sizes = sorted(tuple(r) for r in points.df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before = np.cumsum([0, *[n for _, n in sizes[:-1]]]).tolist()
+    bases = pa.table({"_part": pa.array([p for p, _ in sizes], pa.int64()), "_before": pa.array(before, pa.int64())})
+    bases = F.broadcast(rows.sparkSession.createDataFrame(bases))
+    numbered = points.df.join(bases, part == F.col("_part"))
+    points.df = numbered.withColumn("node", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_before")
     return points
 
 
@@ -209,13 +220,15 @@ def merged(state: DataFrame, offers: DataFrame) -> DataFrame:
     return in_groups(state.unionByName(offers), "node", work, STATE, 8192)
 
 
-def descent(state: DataFrame) -> DataFrame:
-    """Offers of one round: vectors linked with the same vector are compared, pairs of old links are not."""
+def descent(state: DataFrame, part: int) -> DataFrame:
+    """Offers of one part of a round: vectors linked with the same vector are compared, pairs of old links are not."""
     links = state.select("node", "code", "scale", F.get("scores", F.lit(NEIGHBOURS - 1)).alias("worst"),
                          F.explode(F.arrays_zip("cands", "fresh")).alias("link"))
     back = links.select(F.col("link.cands").alias("owner"), F.col("node").alias("member"), "code", "scale", "worst", F.col("link.fresh").alias("fresh"))
     ends = state.select(F.col("node").alias("member"), "code", "scale", F.get("scores", F.lit(NEIGHBOURS - 1)).alias("worst"))
     ahead = links.select(F.col("node").alias("owner"), F.col("link.cands").alias("member"), F.col("link.fresh").alias("fresh"))
+    here = F.pmod(F.xxhash64(F.lit(SEED), "owner"), F.lit(PARTS)) == part
+    back, ahead = back.filter(here), ahead.filter(here)
     # those that link to one vector are dealt to groups, each of which also holds the vector's own links
     crowd = back.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP_LINKS)
     crowd = crowd.select("owner", F.ceil(F.col("n") / GROUP_LINKS).alias("parts"))
@@ -256,8 +269,11 @@ def neighbour_graph(points: DataFrame) -> Saved:
     state = points.select("node", "code", "scale", *[F.array().cast(kind).alias(name) for name, kind in empty.items()])
     graph = Saved(merged(state, starting_links(points)), "graph", lean=True)
     for _ in range(DESCENTS):
-        later = Saved(merged(graph.df, descent(graph.df)), "graph", lean=True)
-        graph.discard()
+        offers = [Saved(descent(graph.df, part), "offers", lean=True) for part in range(PARTS)]
+        every = reduce(DataFrame.unionByName, [o.df for o in offers])
+        later = Saved(merged(graph.df, every), "graph", lean=True)
+        for done in (graph, *offers):
+            done.discard()
         graph = later
     return graph
 
