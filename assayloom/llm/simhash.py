@@ -12,27 +12,20 @@ trees of all shards grow with the corpus and have no size bound for a broadcast.
 Wide fingerprints (several 64-bit words, remixed from the same shingle hashes)
 measure the cosine of the shingle sets, hence their similarity, closely.  For
 them the blocks find a pair with high probability instead of surely.
-
-Dropping near duplicates has a bar on the similarity itself, so it does without
-fingerprints: texts that share one of the first shingles of their sorted sets are
-compared by the sets (prefix filter), which misses no pair.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .substrings import bit_table, marked
-from .tables import Saved, block_pairs, column, connected_components, in_groups, release_shuffles, small_batches
-from .words import WORD, Words, mix, slices, words_of
+from .tables import Saved, block_pairs, column, connected_components, in_groups, small_batches
+from .words import Words, mix, slices, words_of
 
 #: Text that is turned into numbers at a time.
 SLICE_BYTES = 1 << 19
@@ -40,10 +33,6 @@ SLICE_BYTES = 1 << 19
 TREE_ROWS = 20_000
 #: Pairs of query and node that are looked at together.
 FRONTIER = 1 << 19
-#: Frequent shingles come last in a set: counted in one of so many texts, the least count there, the most of them.
-COMMON_PART, COMMON_LEAST, COMMON_MOST = 16, 4, 500_000
-#: Texts of a shingle that are compared in one task; more are cut into blocks.
-GROUP_ROWS = 1000
 
 # byte -> its eight bits, one in each byte of a 64-bit number, first bit first
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64)[:, 0]
@@ -224,22 +213,25 @@ def fingerprint_links(prints: DataFrame, radius: int, words: int = 1, block_bits
 
 def simhash_components(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2,
                        repeats: bool = True, words: int = 1, block_bits: int | None = None,
-                       tree_rows: int = TREE_ROWS) -> DataFrame:
+                       tree_rows: int = TREE_ROWS, keep: Sequence[str] = ()) -> DataFrame:
     """``id_column``, ``fingerprint`` (hex) and ``component_id`` (smallest id reachable) of every row.
 
     - A null or empty text has no words, its fingerprint is zero and links like any other.
     - A null id stays null; it never is the smallest unless a component has no other.
     - Repeated rows stay repeated.  Other columns are left out, so their names can not clash.
+    - With ``keep``, these columns and ``root``, the smallest fingerprint of the component, are passed on.
     - No rows give no rows.
     """
-    source = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"))
+    source = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"),
+                         *[column(docs, c).alias(f"_keep_{c}") for c in keep])
     rows = Saved(with_fingerprint(source, "text", "print", shingle, repeats, words), "fingerprints")
     roots = component_roots(rows.df, radius, words, block_bits, tree_rows)
     least = roots.df.groupBy("root").agg(F.min("first").alias("least"))
-    labels = Saved(roots.df.join(least, "root").select("print", "least"), "labels")
+    labels = Saved(roots.df.join(least, "root").select("print", "least", "root"), "labels")
     roots.discard()
+    more = [*[F.col(f"`_keep_{c}`").alias(c) for c in keep], *(["root"] if keep else [])]
     return rows.df.join(labels.df, "print").select(
-        F.col("id").alias(id_column), F.lower(F.hex("print")).alias("fingerprint"), F.col("least").alias("component_id"))
+        F.col("id").alias(id_column), F.lower(F.hex("print")).alias("fingerprint"), F.col("least").alias("component_id"), *more)
 
 
 def component_roots(rows: DataFrame, radius: int, words: int, block_bits: int | None, tree_rows: int = TREE_ROWS) -> Saved:
@@ -252,206 +244,24 @@ def component_roots(rows: DataFrame, radius: int, words: int, block_bits: int |
     return roots
 
 
-def radius_for(similarity: float, bits: int) -> int:
-    """Differing bits of two sets of equal size at a Jaccard similarity: cosine 2s/(1+s), angle over pi."""
-    return math.floor(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def _fraction(similarity: float) -> Fraction:
-    """The similarity as it is written: 0.8 is 4/5."""
-    return Fraction(str(similarity))
-
-
-def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
-    """``digest`` and ``hashes`` (the set of shingle hashes, sorted) of texts with ``digest`` and ``text``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                hashes, first = shingle_hashes(words_of(part["text"], lower_ascii=True), size, False)
-                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part["digest"], lists], ["digest", "hashes"])
-
-    return texts.select("digest", "text").mapInArrow(run, "digest binary, hashes array<long>")
-
-
-def common_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingle hashes that are frequent in a part of the texts, sorted, and how often they are there.
-
-    They only say which shingles ``prefixes`` puts last.  Any order of the shingles
-    gives the same pairs, so neither the part nor the bound changes a result.
-    """
-    part = shingle_sets(texts.filter(F.pmod(F.xxhash64("digest"), F.lit(COMMON_PART)) == 0), size)
-    counted = part.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-    found = counted.filter(F.col("n") >= COMMON_LEAST).orderBy(F.col("n").desc(), "hash").limit(COMMON_MOST).toArrow()
-    hashes, n = found["hash"].to_numpy(), found["n"].to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], n[order]
-
-
-def _rest(n: np.ndarray, similarity: Fraction) -> np.ndarray:
-    """Shingles of a set of ``n`` that are not in its prefix."""
-    return -((-similarity.numerator * n) // similarity.denominator) - 1
-
-
-def prefixes(texts: DataFrame, size: int, similarity: Fraction) -> DataFrame:
-    """``hash``, ``n``, ``digest``: the first shingles of each set of ``n``, rare ones first, without those of one text only.
-
-    Two sets of a similarity s or more have at least s * n shingles of each in
-    common.  So, all sets being sorted alike, their first common shingle is among
-    the first ``n - ceil(s * n) + 1`` of both.  What comes again is known by a bit
-    table; a shared bit lets a shingle of one text through, it keeps none back.
-    """
-    spark = texts.sparkSession
-    common = spark.sparkContext.broadcast(common_shingles(texts, size))
-
-    def first_of(table) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, often = common.value
-            for batch in batches:
-                for part in slices(batch, "text", SLICE_BYTES):
-                    hashes, first = shingle_hashes(words_of(part["text"], lower_ascii=True), size, False)
-                    n = np.diff(first)
-                    text = np.repeat(np.arange(len(n)), n)
-                    weight = np.zeros(len(hashes), np.int64)
-                    signed = hashes.view(np.int64)
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, signed), len(known) - 1)
-                        weight = np.where(known[at] == signed, often[at], 0)
-                    order = np.lexsort((signed, weight, text))
-                    use = np.arange(len(hashes)) - first[text] < (n - _rest(n, similarity))[text]
-                    if table is not None:
-                        use &= marked(table.value, hashes[order])
-                    of, chosen = text[use], pa.array(signed[order][use])
-                    if table is None:
-                        yield pa.RecordBatch.from_arrays([chosen], ["hash"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([chosen, pa.array(n[of].astype(np.int32)), part["digest"].take(pa.array(of))], ["hash", "n", "digest"])
-
-        return texts.select("digest", "text").mapInArrow(run, "hash long" if table is None else "hash long, n int, digest binary")
-
-    again = first_of(None).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = Saved(again.select(F.col("hash").alias("key")), "again")
-    table = spark.sparkContext.broadcast(bit_table(again.df))
-    again.discard()
-    return first_of(table)
-
-
-def candidates(dealt: DataFrame, similarity: Fraction, every: bool) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` of digests of a group that may be alike by the similarity.
-
-    Without ``every`` only neighbours in two orders of each group, so that there
-    are not more pairs than rows; with it all pairs of different ``label``.  What
-    two sets share outside of both prefixes is in the rest of one of them, so
-    pairs with too few common shingles in the prefixes are not alike.
-    """
-    up, down = similarity.numerator, similarity.denominator
+def drop_near_duplicates(docs: DataFrame, keep: Sequence[str], id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """Columns ``keep`` of one row for each component of :func:`simhash_components`, with its shingles and radius.
 
-    def pairs(table: pa.Table) -> pa.RecordBatch | None:
-        table = table.combine_chunks()
-        group, n, turn = (table[c].to_numpy().astype(np.int64) for c in ("_group", "n", "turn"))
-        digest = table["digest"].combine_chunks().dictionary_encode()
-        code = digest.indices.to_numpy().astype(np.int64)
-        label = table["label"].combine_chunks().dictionary_encode().indices.to_numpy() if every else None
-        size, length = len(digest.dictionary), np.zeros(len(digest.dictionary), np.int64)
-        length[code] = n
-        found, counts = [], []
-        for order in [np.lexsort((turn, n, group)), *([] if every else [np.lexsort((turn, group))])]:
-            near, step = np.arange(len(order) - 1), 1
-            while len(near):
-                x, y = order[near], order[near + step]
-                # sorted by n: once the other set is too large, all later ones are
-                go = (group[x] == group[y]) & (down * np.minimum(n[x], n[y]) >= up * np.maximum(n[x], n[y]))
-                near, x, y = near[go], x[go], y[go]
-                use = code[x] != code[y]
-                if every:
-                    use &= label[x] != label[y]
-                x, y = code[x[use]], code[y[use]]
-                pair, count = np.unique(np.minimum(x, y) * size + np.maximum(x, y), return_counts=True)
-                found.append(pair)
-                counts.append(count)
-                step += 1
-                near = near[near + step < len(order)] if every else near[:0]
-        if not found:
-            return None
-        pair, at = np.unique(np.concatenate(found), return_inverse=True)
-        a, b = np.divmod(pair, size)
-        rest = np.maximum(_rest(length[a], similarity), _rest(length[b], similarity))
-        shared = np.bincount(at, weights=np.concatenate(counts), minlength=len(pair)).astype(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [digest.dictionary.take(pa.array(a)), digest.dictionary.take(pa.array(b)), pa.array(shared), pa.array(rest), pa.array(length[a] + length[b])],
-            ["a", "b", "shared", "rest", "sum"])
-
-    columns = ["_group", "n", "turn", "digest", *(["label"] if every else [])]
-    met = in_groups(dealt.withColumn("turn", F.xxhash64("digest")).select(*columns), "_group", pairs, "a binary, b binary, shared long, rest long, sum long", 50_000)
-    met = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "rest", "sum").agg(F.sum("shared").alias("shared"))
-    return met.filter((F.col("shared") + F.col("rest")) * (up + down) >= F.col("sum") * up).select("a", "b")
-
-
-def alike(pairs: DataFrame, texts: DataFrame, size: int, similarity: Fraction) -> Saved:
-    """The pairs whose sets have that similarity or more."""
-    pairs = Saved(pairs, "pairs")
-    ends = pairs.df.select(F.col("a").alias("digest")).unionByName(pairs.df.select(F.col("b").alias("digest"))).distinct()
-    sets = Saved(shingle_sets(texts.join(ends, "digest", "left_semi"), size), "sets")
-    release_shuffles(texts.sparkSession)
-    a, b = (sets.df.select(F.col("digest").alias(c), F.col("hashes").alias(f"_{c}")) for c in "ab")
-    both = F.size(F.array_intersect("_a", "_b")).cast("long")
-    rows = pairs.df.join(a, "a").join(b, "b").select("a", "b", both.alias("both"), (F.size("_a") + F.size("_b")).cast("long").alias("sum"))
-    near = Saved(rows.filter(F.col("both") * (similarity.numerator + similarity.denominator) >= F.col("sum") * similarity.numerator).select("a", "b"), "near")
-    pairs.discard()
-    sets.discard()
-    release_shuffles(texts.sparkSession)
-    return near
-
-
-def similar_texts(texts: DataFrame, size: int, similarity: float, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``node``, ``component`` of the digests of texts (distinct ``digest``, ``text``) that are like another one.
-
-    No pair is missed and none is linked below the similarity.  Neighbours within
-    the groups of a shingle are compared first; then only pairs of texts that are
-    not in one component yet, so a large group of near copies takes few comparisons.
-    """
-    bar = _fraction(similarity)
-    dealt = block_pairs(prefixes(texts, size, bar), "hash", F.xxhash64("digest"), group_rows, "prefixes")
-    dealt = Saved(dealt.select("_group", "n", "digest"), "groups")
-    release_shuffles(texts.sparkSession)
-    first = alike(candidates(dealt.df, bar, False), texts, size, bar)
-    known = connected_components(first.df)
-    labelled = dealt.df.join(known.withColumnRenamed("node", "digest"), "digest", "left")
-    second = alike(candidates(labelled.withColumn("label", F.coalesce("component", "digest")), bar, True), texts, size, bar)
-    dealt.discard()
-    return connected_components(first.df.unionByName(second.df))
-
-
-def drop_near_duplicates(docs: DataFrame, keep: Sequence[str], id_column: str = "doc_id", text: str = "text", similarity: float = 0.8) -> DataFrame:
-    """Columns ``keep`` of one row for each group of texts whose sets of five-word shingles are alike by ``similarity`` or more.
-
-    Similarities are those of the sets themselves (64-bit hashes of the shingles),
-    not of fingerprints, also for texts of few words.  Of a group the row with the
-    smallest id stays, of several such rows one.  Null ids come last.  Texts
-    without words are one group.  Other columns are left out; no rows give no rows.
+    The row with the smallest id of a component stays, of several with that id
+    the one with the smallest digest of its text.  Null ids come last.  Of rows
+    with the same id and text the one with the smallest other columns stays.
+    Texts without words have one fingerprint and are one component.  Other
+    columns are left out; no rows give no rows.
     """
-    body, id_ = column(docs, text), column(docs, id_column)
-    digest = F.when(body.rlike(WORD), F.unhex(F.md5(body))).otherwise(F.lit(b""))
-    small_batches(docs.sparkSession)
-    source = docs.select(id_.alias("id"), digest.alias("digest"), body.alias("text"))
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("best")
-    rows = Saved(source.groupBy("digest").agg(best), "classes")
-    texts = Saved(source.select("digest", "text").filter(F.length("digest") > 0).dropDuplicates(["digest"]), "texts")
-    release_shuffles(docs.sparkSession)
-    found = Saved(similar_texts(texts.df, 5, similarity), "components")
-    texts.discard()
-    root = F.coalesce("component", "digest").alias("root")
-    groups = rows.df.join(found.df.withColumnRenamed("node", "digest"), "digest", "left").select(root, F.struct("best.*", "digest").alias("best"))
-    chosen = groups.groupBy("root").agg(F.min("best").alias("best"))
-    chosen = Saved(chosen.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")), "chosen")
-    rows.discard()
-    found.discard()
-    release_shuffles(docs.sparkSession)
-    # texts move once, to the chosen ones; rows with the same id and text are alike but for other columns, the first one stays
-    full = docs.select(id_.alias("_id"), digest.alias("_digest"), *[column(docs, c).alias(f"_keep_{i}") for i, c in enumerate(keep)])
+    digest = F.unhex(F.md5(F.coalesce(column(docs, text), F.lit(""))))
+    found = simhash_components(docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"), digest.alias("digest")), "id",
+                               keep=["digest"])
+    best = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    chosen = found.groupBy("root").agg(F.min(best).alias("best"))
+    chosen = Saved(chosen.select(F.col("best.id").alias("_id"), F.col("best.digest").alias("_digest")), "chosen", lean=True)
+    # texts move once, to the chosen ones
+    full = docs.select(column(docs, id_column).alias("_id"), digest.alias("_digest"), F.struct(
+        *[column(docs, c).alias(f"_{i}") for i, c in enumerate(keep)]).alias("_row"))
     same = (full["_digest"] == chosen.df["_digest"]) & full["_id"].eqNullSafe(chosen.df["_id"])
-    order = [f"_keep_{i}" for i in range(len(keep))]
-    twins = Window.partitionBy("_digest", "_id").orderBy(*order)
-    left = full.join(chosen.df, same, "left_semi").withColumn("_nth", F.row_number().over(twins)).filter("_nth = 1")
-    return left.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)])
+    left = full.join(chosen.df, same, "left_semi").groupBy("_digest", "_id").agg(F.min("_row").alias("_row"))
+    return left.select(*[F.col(f"_row._{i}").alias(c) for i, c in enumerate(keep)])
