@@ -27,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    """Keep one document of each component of the SimHash operator, with its shingles and bit distance."""
     return drop_near_duplicates(docs, keep=COLUMNS)
 
 
