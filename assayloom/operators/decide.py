@@ -61,9 +61,9 @@ def classify(df: DataFrame, rules: TextRules) -> DataFrame:
 
 def decide(df: DataFrame, rules: TextRules, units: UnitRules) -> DataFrame:
     """Add all 14 columns to a table that has the cleaned keys."""
-    df = canonical_unit(df, units.spellings, UNIT, CANONICAL)
+    df = canonical_unit(df, units.spellings, UNIT, CANONICAL, "spellings" in units.large)
     df = classify(df, rules).drop(CANONICAL)
-    return standardise(df, units.conversions)
+    return standardise(df, units.conversions, "conversions" in units.large)
 
 
 def label_excluded(df: DataFrame, label: str = fixed.EXCLUDED_SHAPE) -> DataFrame:

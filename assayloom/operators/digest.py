@@ -9,6 +9,7 @@ sums in each task is enough.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from pyspark.sql.types import DataType, MapType, VariantType
 
 #: A hash is added up in pieces of so many bits, each sum is a long.
 PIECE_BITS, PIECES = 16, 4
+#: Columns whose nulls are marked in one number.
+MASK_BITS = 30
 
 
 def _hashable(column: Column, kind: DataType) -> Column:
@@ -28,7 +31,11 @@ def _hashable(column: Column, kind: DataType) -> Column:
 def row_hash(columns: Sequence[Column], kinds: Sequence[DataType] | None = None) -> Column:
     """Hash of a row.  Hashing skips nulls, so where they are is hashed too."""
     values = [_hashable(c, k) for c, k in zip(columns, kinds)] if kinds else list(columns)
-    return F.xxhash64(*values, F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in columns]))
+    masks = []
+    for low in range(0, len(columns), MASK_BITS):
+        bits = [F.when(c.isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns[low : low + MASK_BITS])]
+        masks.append(reduce(lambda a, b: a + b, bits))
+    return F.xxhash64(*values, *masks)
 
 
 def hash_sums(hash_: Column, times: Column | None = None, name: str = "digest") -> list[Column]:

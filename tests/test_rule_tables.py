@@ -90,12 +90,43 @@ def test_rule_tables_too_large_to_broadcast(spark, lab, monkeypatch):
     monkeypatch.setattr(module, "RULE_ROWS", 1)
     monkeypatch.setattr(module, "_defaults", {})
     large = Harmonization(rows, units=UnitRules.default(spark))
-    hinted = [j.harmonized_in_place()._jdf.queryExecution().logical().toString().count("ResolvedHint") for j in (small, large)]
-    assert hinted[0] - hinted[1] == 2
+    assert (small.units.large, large.units.large) == (frozenset(), {"spellings", "conversions"})
     got = [sorted(map(str, j.harmonized_in_place().collect())) for j in (small, large)]
     assert got[0] == got[1]
 
 
+@pytest.mark.parametrize("share", [1e-3, 0.5])
+def test_a_frequent_unit_is_not_one_task(spark, monkeypatch, share):
+    """One unit and no unit own a third of all rows each; with and without a rule for the frequent one."""
+    from assayloom.operators import units as module
+
+    monkeypatch.setattr(module, "HOT_SHARE", share)
+    n = 12_000
+    units_ = ["MG / DL" if i % 3 == 0 else None if i % 3 == 1 else f"unit {i % 900}" if i % 2 else "hot, no rule" for i in range(n)]
+    rows = spark.createDataFrame([(i, "200106", u, {"a": 1}) for i, u in enumerate(units_)], "i int, _lab_code string, u string, m map<string,int>")
+    rules = spark.createDataFrame([(f"unit{i}", f"U{i}") for i in range(0, 900, 2)] + [("mg/dl", "mg/dL")], "unit_key string, spelling string")
+    small = module.canonical_unit(rows, rules, "u", "agreed").select("i", "agreed")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = module.canonical_unit(rows, rules, "u", "agreed", large=True)
+        assert sorted(map(tuple, large.select("i", "agreed").collect())) == sorted(map(tuple, small.collect()))
+        assert large.columns == ["i", "_lab_code", "u", "m", "agreed"]
+        tasks = [r["count"] for r in large.groupBy(F.spark_partition_id()).count().collect()]
+        if share == 1e-3:
+            assert max(tasks) < 2 * n / len(tasks)
+        numbers = rows.select("i", "_lab_code", F.col("u").alias("unit"), F.lit(2.0).alias("number"), F.lit(None).cast("double").alias("range_low"),
+                              F.lit(None).cast("double").alias("range_high"), F.lit("plain_numeric").alias("shape"), F.lit("split").alias("split_action"))
+        registry = spark.createDataFrame([("200106", "MG / DL", "g/L", 0.5), ("200106", "unit 4", "x", 3.0), ("2001", "06unit 4", "y", 9.0)],
+                                         "code string, unit_source string, unit_target string, multiplier double")
+        both = [sorted(map(str, module.standardise(numbers, registry, large).collect())) for large in (False, True)]
+        assert both[0] == both[1]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_prepare_keeps_settings_of_the_user(spark):
     from assayloom import prepare
 
