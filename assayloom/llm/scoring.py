@@ -5,165 +5,150 @@ background counts all documents, the target those with good labels.  A token's
 loss is its negative log-probability; a document's score is the mean difference
 of its losses, so low scores mark texts that are more like the target.
 
-All counts run over the whole corpus.  The vocabulary has the words, and the
-models the bigrams, that make up at least a given share of all tokens, so there
-are at most one over that share of them and the models can be sent to every
-executor whatever the corpus; other bigrams are scored by their last word.
+Every word and every bigram of the corpus counts, however rare; both are known by
+64-bit hashes.  Counts are saved tables with a row for each bigram.  Texts never move:
+a task adds up the tokens whose bigrams are frequent (a bounded list that is sent to
+every executor) and gives out the others as rows of document and bigram, which meet
+their losses in a join.  Which bigrams are on the list changes no result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import Saved, column, release_shuffles, small_batches
-from .words import Words, slices, words_of
+from ..operators.keys import EXCLUDED_BY
+from ..operators.scope import LINK, OrderFilter, flag_scope, order_words, wrong_hits
+from ..rules import LabColumns, ScopeRules
+from ..sources.store import fits_broadcast
+from .substrings import word_hashes
+from .tables import Saved, column, small_batches
+from .words import Words, mix, slices, words_of
 
-#: Least share of all tokens of a word of the vocabulary, and of a bigram of the models.
-WORD_SHARE, PAIR_SHARE = 1e-5, 2e-6
 #: Weight of a word's own probability after a context, in tokens, and added to each word's count.
 CONTEXT_WEIGHT, WORD_WEIGHT = 50.0, 0.5
-SLICE_BYTES = 1 << 21
+#: A bigram is frequent from this share of all tokens, so at most 500,000 are.
+FREQUENT = 2e-6
+SLICE_BYTES = 1 << 22
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
-@dataclass
-class Models:
-    """``words`` in order of their number; losses of single words (the last entry: all others) and of kept bigrams.
 
-    First axis of the arrays: target, background.  ``pairs`` are sorted codes
-    ``first * len(words) + second``; ``context`` is the kept mass after a word.
-    """
-
-    words: pa.Array
-    single: np.ndarray
-    pairs: np.ndarray
-    pair: np.ndarray
-    context: np.ndarray
-
-
-def _strings(words: Words) -> pa.Array:
-    """The words of a batch, each with the blank behind it."""
-    offsets = np.append(words.start, len(words.data)).astype(np.int32)
-    return pa.Array.from_buffers(pa.string(), len(words.start), [None, pa.py_buffer(offsets), pa.py_buffer(words.data)])
-
-
-def _numbers(words: Words, vocabulary: pa.Array) -> np.ndarray:
-    """Number of each word in the vocabulary, its length for others."""
-    coded = _strings(words).dictionary_encode()
-    place = pc.fill_null(pc.index_in(coded.dictionary, value_set=vocabulary), len(vocabulary)).to_numpy(zero_copy_only=False)
-    return place[coded.indices.to_numpy()].astype(np.int64) if len(words.start) else np.zeros(0, np.int64)
+def flag_good(docs: DataFrame, good: DataFrame) -> DataFrame:
+    """Add ``good``: whether the ``id`` of a row is one of the distinct ``id`` of ``good``.
 
-
-def _pairs(words: Words) -> np.ndarray:
-    """Whether a word follows another one of its text."""
-    follows = np.ones(len(words.start), bool)
+    Documents stay where they are: the ids are sent if they are few; otherwise a
+    filter of them that has a size bound, and the other ids that pass it.  If these
+    are too many too, only documents that pass the filter move.
+    """
+    roles = LabColumns(code="id", link="id", name=None)
+    rules = ScopeRules(prefixes=())
+    ids = Saved(good.select(F.col("id").cast("string").alias(LINK)), "good", lean=True)
+    send, filtered = fits_broadcast(ids.df), None
+    if not send:
+        words = Saved(order_words(ids.df, ids.df.count()), "good-words", lean=True)
+        others = Saved(wrong_hits(docs, roles, ids.df, words.df), "other-ids", lean=True)
+        filtered = OrderFilter(words.df, others.df if fits_broadcast(others.df) else None)
+    flagged = flag_scope(docs, roles, rules, ids.df, send, filtered)
+    return flagged.withColumn("good", F.col(EXCLUDED_BY).isNotNull()).drop(EXCLUDED_BY)
+
+
+def _bigrams(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each word its bigram, the word before it, the word, and whether there is one before it in its text."""
+    word = word_hashes(words)
+    before = np.zeros(len(word), np.uint64)
+    before[1:] = word[:-1]
+    follows = np.ones(len(word), bool)
     follows[words.first[:-1][words.count > 0]] = False
-    return follows
+    before[~follows] = 0
+    bigram = mix(before * _STEP + word + follows.astype(np.uint64))
+    return bigram.view(np.int64), before.view(np.int64), word.view(np.int64), follows
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """``word``, ``n`` in all texts, ``good`` in those of the target."""
+def count_bigrams(docs: DataFrame) -> DataFrame:
+    """``bigram``, ``before`` (null for the first word of a text), ``word``, ``n`` in all texts, ``good`` in those of the target."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 words = words_of(part["text"], lower_ascii=True)
-                coded = _strings(words).dictionary_encode()
-                code, size = coded.indices.to_numpy(), len(coded.dictionary)
+                bigram, before, word, follows = _bigrams(words)
                 good = np.repeat(part["good"].to_numpy(zero_copy_only=False).astype(bool), words.count)
+                found, at, place = np.unique(bigram, return_index=True, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
-                    [coded.dictionary, pa.array(np.bincount(code, minlength=size)), pa.array(np.bincount(code[good], minlength=size))], ["word", "n", "good"])
+                    [pa.array(found), pa.array(before[at], mask=~follows[at]), pa.array(word[at]),
+                     pa.array(np.bincount(place, minlength=len(found))), pa.array(np.bincount(place[good], minlength=len(found)))],
+                    ["bigram", "before", "word", "n", "good"])
 
-    return docs.mapInArrow(run, "word string, n long, good long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    counted = docs.select("text", "good").mapInArrow(run, "bigram long, before long, word long, n long, good long")
+    return counted.groupBy("bigram", "before", "word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
 
 
-def count_pairs(docs: DataFrame, vocabulary: pa.Array) -> DataFrame:
-    """``pair``, ``n``, ``good`` of neighbouring words of the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def bigram_losses(bigrams: DataFrame, tokens: int, good_tokens: int) -> DataFrame:
+    """``bigram``, ``n``, ``target``, ``background``: losses of the word of each bigram in both models."""
+    words = Saved(bigrams.groupBy("word").agg(F.sum("n").alias("word_n"), F.sum("good").alias("word_good")), "words", lean=True)
+    added = WORD_WEIGHT * words.df.count()
+    after = bigrams.filter(F.col("before").isNotNull()).groupBy("before").agg(
+        F.sum("n").alias("context_n"), F.sum("good").alias("context_good"))
+    rows = bigrams.join(words.df, "word").join(after, "before", "left")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(shared.value)
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                words = words_of(part["text"], lower_ascii=True)
-                number = _numbers(words, shared.value)
-                use = np.flatnonzero(_pairs(words)[1:] & (number[:-1] < size) & (number[1:] < size)) if len(number) else np.zeros(0, np.int64)
-                good = np.repeat(part["good"].to_numpy(zero_copy_only=False).astype(bool), words.count)
-                pair, place = np.unique(number[use] * size + number[use + 1], return_inverse=True)
-                n = np.bincount(place, minlength=len(pair))
-                of_good = np.bincount(place[good[use]], minlength=len(pair))
-                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n), pa.array(of_good)], ["pair", "n", "good"])
-
-    return docs.mapInArrow(run, "pair long, n long, good long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-
-
-def fit(docs: DataFrame, word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> Models:
-    """Models of documents with ``text`` and ``good``."""
-    spark = docs.sparkSession
-    counted = Saved(count_words(docs), "words")
-    total = counted.df.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
-    tokens = np.array([total["good"] or 0, total["n"] or 0], np.float64)
-    # at most 1 / word_share rows
-    known = sorted((r["word"], r["good"], r["n"]) for r in counted.df.filter(F.col("n") >= word_share * float(tokens[1])).collect())
-    counted.discard()
-    release_shuffles(spark)
-    words = pa.array([w for w, _, _ in known], pa.string())
-    count = np.array([[g, n] for _, g, n in known], np.float64).reshape(-1, 2).T
-    count = np.column_stack([count, tokens - count.sum(axis=1)])
-    share = (count + WORD_WEIGHT) / (count.sum(axis=1, keepdims=True) + WORD_WEIGHT * count.shape[1])
-
-    # at most 1 / pair_share rows
-    rows = count_pairs(docs, words).filter(F.col("n") >= pair_share * float(tokens[1])).collect()
-    release_shuffles(spark)
-    rows = np.array(sorted((r["pair"], r["good"], r["n"]) for r in rows), np.int64).reshape(-1, 3)
-    pairs, seen = rows[:, 0].copy(), rows[:, 1:].T.astype(np.float64)
-    size = max(len(words), 1)
-    context = np.stack([np.bincount(pairs // size, weights=s, minlength=len(words) + 1) for s in seen])
-    pair = -np.log((seen + CONTEXT_WEIGHT * share[:, pairs % size]) / (context[:, pairs // size] + CONTEXT_WEIGHT))
-    return Models(words, -np.log(share), pairs, pair, np.log((context + CONTEXT_WEIGHT) / CONTEXT_WEIGHT))
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """``id``, ``n_tokens``, ``target_loss``, ``background_loss`` of documents with ``id`` and ``text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    def loss(count: str, total: int):
+        share = (F.col(f"word_{count}") + WORD_WEIGHT) / F.lit(total + added)
+        seen = (F.col(count) + CONTEXT_WEIGHT * share) / (F.col(f"context_{count}") + CONTEXT_WEIGHT)
+        return -F.log(F.when(F.col("before").isNull(), share).otherwise(seen))
+
+    return rows.select("bigram", "n", loss("good", good_tokens).alias("target"), loss("n", tokens).alias("background"))
+
+
+def document_losses(docs: DataFrame, frequent: pa.Table) -> DataFrame:
+    """Rows of documents and of their rare bigrams.
+
+    A row of a document has ``doc``, ``id``, ``n_tokens`` and the sums of the losses of its
+    frequent bigrams; a row of a rare one has ``doc``, ``bigram`` and how often it is there.
+    """
+    table = frequent.sort_by("bigram").combine_chunks()
+    known = [table[c].to_numpy() for c in ("bigram", "target", "background")]
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        size = len(m.words)
+        often, *losses = shared.value
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 words = words_of(part["text"], lower_ascii=True)
-                number = _numbers(words, m.words)
-                loss = m.single[:, number]
-                follows = np.flatnonzero(_pairs(words))
-                before, here = number[follows - 1], number[follows]
-                loss[:, follows] += m.context[:, before]
-                code = np.where((before < size) & (here < size), before * size + here, -1)
-                place = np.searchsorted(m.pairs, code)
-                found = np.flatnonzero((place < len(m.pairs)) & (m.pairs[np.minimum(place, len(m.pairs) - 1)] == code)) if len(m.pairs) else np.zeros(0, np.int64)
-                loss[:, follows[found]] = m.pair[:, place[found]]
+                bigram = _bigrams(words)[0]
                 n = words.count
-                total = np.zeros((2, len(n)))
-                some = np.flatnonzero(n)
-                if len(some):
-                    total[:, some] = np.add.reduceat(loss, words.first[some], axis=1) / n[some]
-                none = n == 0
+                doc = np.repeat(np.arange(len(n)), n)
+                place = np.minimum(np.searchsorted(often, bigram), max(len(often) - 1, 0))
+                found = often[place] == bigram if len(often) else np.zeros(len(bigram), bool)
+                sums = [np.bincount(doc[found], weights=loss[place[found]], minlength=len(n)).astype(np.float64) for loss in losses]
+                order = np.lexsort((bigram[~found], doc[~found]))
+                rare, of = bigram[~found][order], doc[~found][order]
+                new = np.ones(len(rare), bool)
+                new[1:] = (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])
+                first = np.flatnonzero(new)
+                times = np.diff(np.append(first, len(rare)))
+                none, key = len(first), part["doc"]
+                yield pa.RecordBatch.from_arrays(
+                    [key, part["id"], pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
+                    NAMES)
                 yield pa.RecordBatch.from_arrays(
-                    [part["id"], pa.array(n), pa.array(total[0], mask=none), pa.array(total[1], mask=none)],
-                    ["id", "n_tokens", "target_loss", "background_loss"])
+                    [key.take(pa.array(of[first])), pa.nulls(none, part["id"].type), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()),
+                     pa.nulls(none, pa.float64()), pa.array(rare[first]), pa.array(times)], NAMES)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n_tokens long, target_loss double, background_loss double")
+    rows = docs.select("id", "text").withColumn("doc", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, f"doc long, id {kind}, n_tokens long, target double, background double, bigram long, times long")
+
+
+NAMES = ["doc", "id", "n_tokens", "target", "background", "bigram", "times"]
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, good: str = "quality = 1 and toxic = 0", id_column: str = "doc_id",
-                             text: str = "text", word_share: float = WORD_SHARE, pair_share: float = PAIR_SHARE) -> DataFrame:
+                             text: str = "text", frequent: float = FREQUENT) -> DataFrame:
     """``id_column``, ``n_tokens``, ``target_loss``, ``background_loss``, ``difference`` of every row.
 
     The target is made of the documents whose id has a row in ``labels`` for which ``good`` holds.
@@ -175,8 +160,26 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, good: str = "qu
     """
     small_batches(docs.sparkSession)
     rows = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"))
-    chosen = labels.filter(good).select(column(labels, id_column).alias("id"), F.lit(True).alias("good")).filter("id is not null").distinct()
-    marked = rows.join(chosen, "id", "left").select(F.coalesce("good", F.lit(False)).alias("good"), "text")
-    scored = score(rows, fit(marked, word_share, pair_share))
+    chosen = labels.filter(good).select(column(labels, id_column).alias("id")).filter("id is not null").distinct()
+    bigrams = Saved(count_bigrams(flag_good(rows, chosen)), "bigrams", lean=True)
+    total = bigrams.df.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    tokens, good_tokens = total["n"] or 0, total["good"] or 0
+    losses = Saved(bigram_losses(bigrams.df, tokens, good_tokens), "losses", lean=True)
+    bigrams.discard()
+    # at most 1 / frequent rows
+    often = losses.df.filter(F.col("n") >= max(2.0, frequent * tokens)).select("bigram", "target", "background").toArrow()
+    found = Saved(document_losses(rows, often), "documents", lean=True)
+    rare = found.df.filter(F.col("bigram").isNotNull()).select("doc", "bigram", "times")
+    met = rare.join(losses.df.select("bigram", "target", "background"), "bigram")
+    sums = Saved(met.groupBy("doc").agg(F.sum(F.col("times") * F.col("target")).alias("rare_target"),
+                                        F.sum(F.col("times") * F.col("background")).alias("rare_background")), "rare", lean=True)
+    losses.discard()
+    every = found.df.filter(F.col("n_tokens").isNotNull()).join(sums.df, "doc", "left")
+
+    def mean(name: str):
+        whole = F.col(name) + F.coalesce(F.col(f"rare_{name}"), F.lit(0.0))
+        return F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens"))
+
+    scored = every.select("id", "n_tokens", mean("target").alias("target_loss"), mean("background").alias("background_loss"))
     return scored.select(
         F.col("id").alias(id_column), "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))

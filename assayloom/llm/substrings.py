@@ -51,7 +51,7 @@ _UNDO = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LAST = np.uint64(1 << 63)
 
 
-def _word_hashes(words: Words) -> np.ndarray:
+def word_hashes(words: Words) -> np.ndarray:
     """A polynomial of the bytes of each word, all from one running sum."""
     n = len(words.data)
     power = np.full(n, _BASE)
@@ -90,7 +90,7 @@ class Runs:
         width = window - mer + 1
         if len(words.start) < window:
             return
-        hashes = _word_hashes(words)
+        hashes = word_hashes(words)
         mers = np.zeros(len(hashes) - mer + 1, np.uint64)
         for i in range(mer):
             mers = mers * _BASE + hashes[i : len(hashes) - mer + 1 + i]

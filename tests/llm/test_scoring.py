@@ -12,25 +12,20 @@ from assayloom.llm.scoring import cross_entropy_difference
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def plain(rows, good, word_share, pair_share):
+def plain(rows, good):
     texts = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) for _, t in rows]
-    total = sum(map(len, texts))
-    every = Counter(w for t in texts for w in t)
-    known = {w for w, n in every.items() if n >= word_share * total}
-    pairs = Counter(p for t in texts for p in zip(t, t[1:]) if known.issuperset(p))
-    kept = {p for p, n in pairs.items() if n >= pair_share * total}
+    size = len({w for t in texts for w in t})
 
     def model(some):
-        words = Counter(w if w in known else None for t in some for w in t)
-        words.update({None: 0})
-        share = lambda w: (words[w] + 0.5) / (sum(words.values()) + 0.5 * (len(known) + 1))
-        two = Counter(p for t in some for p in zip(t, t[1:]) if p in kept)
+        words = Counter(w for t in some for w in t)
+        total = sum(words.values())
+        two = Counter(p for t in some for p in zip(t, t[1:]))
         after = Counter()
         for (a, _), n in two.items():
             after[a] += n
 
         def loss(a, b):
-            own = share(b if b in known else None)
+            own = (words[b] + 0.5) / (total + 0.5 * size)
             return -math.log(own if a is None else (two[a, b] + 50 * own) / (after[a] + 50))
 
         return lambda t: sum(loss(a, b) for a, b in zip([None, *t], t)) / len(t) if t else None
@@ -39,9 +34,9 @@ def plain(rows, good, word_share, pair_share):
     return [(i, len(t), target(t), background(t)) for (i, _), t in zip(rows, texts)]
 
 
-def check(df, labels, rows, good, word_share=1e-3, pair_share=5e-4):
-    got = sorted((tuple(r) for r in cross_entropy_difference(df, labels, word_share=word_share, pair_share=pair_share).collect()), key=str)
-    want = sorted(plain(rows, good, word_share, pair_share), key=str)
+def check(df, labels, rows, good, **options):
+    got = sorted((tuple(r) for r in cross_entropy_difference(df, labels, **options).collect()), key=str)
+    want = sorted(plain(rows, good), key=str)
     assert len(got) == len(want)
     for g, w in zip(got, want):
         assert g[:2] == w[:2] and g[2:4] == pytest.approx(w[2:]) if w[2] is not None else g[2:] == (None, None, None)
@@ -52,7 +47,9 @@ def test_whole_table(table):
     labels = table("labels")
     good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and r["toxic"] == 0}
     check(table("documents"), labels, rows, good)
-    check(table("documents"), labels, rows, good, 1e-4, 1e-4)
+    # no bigram is frequent, all of them that come again are
+    check(table("documents"), labels, rows, good, frequent=1.0)
+    check(table("documents"), labels, rows, good, frequent=0.0)
 
 
 def test_edges(spark, documents):
@@ -66,6 +63,27 @@ def test_edges(spark, documents):
     check(clash, labels, rows, {4})
 
 
+@pytest.mark.parametrize("others", [True, False])
+def test_many_labels_move_no_other_text(spark, documents, monkeypatch, others):
+    """The good ids are too many to send: a filter of them goes out, texts that fail it stay."""
+    from assayloom.llm import scoring
+
+    sizes = iter([False, others])
+    monkeypatch.setattr(scoring, "fits_broadcast", lambda df: next(sizes))
+    rows = [(i, f"w{i % 7} w{i % 5} good" if i % 3 == 0 else f"w{i % 7} bad") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 3)] + [(i, 1, 0) for i in range(1000, 3000)], "doc_id long, quality int, toxic int")
+    check(documents(rows), labels, rows, set(range(0, 60, 3)))
+
+
+def test_words_of_a_small_target_count(spark, documents):
+    """A word that is rare overall and frequent in a small target tells its documents apart."""
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 500}" for j in range(60))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " mark mark") for i in range(4)]
+    labels = spark.createDataFrame([(1000 + i, 1, 0) for i in range(3)], "doc_id long, quality int, toxic int")
+    score = {r["doc_id"]: r["difference"] for r in cross_entropy_difference(documents(rows), labels).collect()}
+    assert score[1003] < score[3] - 0.05
+
+
 def test_good_documents_score_lower(spark):
     sf = "/root/testdata/sf0.01"
     score = {r["doc_id"]: r["difference"] for r in op4_cross_entropy_difference(spark, sf).collect()}
