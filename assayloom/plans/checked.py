@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from assayloom.functions.text import clean_result, clean_unit
 from assayloom.operators.digest import content_digest, hash_sums, row_hash, whole_sum
 from assayloom.operators.keys import NEW_COLUMNS, source
+from assayloom.plans.together import side_by_side
 from assayloom.sources import sinks
 from assayloom.sources.store import discard, path_exists, publish, staged_path
 
@@ -59,19 +60,21 @@ def written_digests(job: Harmonization, written: DataFrame, columns: Sequence[st
     return sums.select("file", "n_rows", whole_sum("source"), whole_sum("decided"))
 
 
-def content_check(job: Harmonization, written: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``file``, ``total_rows``, ``rows_written`` and whether rows, source columns and decisions agree, for each file.
+def _has_value(job: Harmonization, columns: Sequence[str]) -> bool:
+    return {job.columns.result, job.columns.unit, job.columns.code} <= set(columns)
 
-    ``columns`` are the source columns that were written, the file is one of them.
-    Without the columns of the value, the decisions are compared file by file and
-    not value by value.  A file that is on one side only agrees in nothing.
-    """
-    with_value = {job.columns.result, job.columns.unit, job.columns.code} <= set(columns)
+
+def expected_digests(job: Harmonization, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Digests of the source columns and of the decisions, for each file."""
     before = content_digest(job.source, [source(c) for c in columns], source(job.columns.file))
-    before = before.withColumnsRenamed({"n_rows": "total_rows", "digest": "_source"})
-    decided = decided_digest(job.decisions, job.rules.scope.label, with_value).withColumnsRenamed({"n_rows": "_decided_rows", "digest": "_decided"})
-    after = written_digests(job, written, columns, with_value).withColumnRenamed("n_rows", "rows_written")
-    both = before.join(decided, "file", "full").join(after, "file", "full")
+    return before, decided_digest(job.decisions, job.rules.scope.label, _has_value(job, columns))
+
+
+def agreement(before: DataFrame, decided: DataFrame, after: DataFrame) -> DataFrame:
+    """``file``, ``total_rows``, ``rows_written`` and whether rows, source columns and decisions agree, for each file."""
+    both = before.withColumnsRenamed({"n_rows": "total_rows", "digest": "_source"}).join(
+        decided.withColumnsRenamed({"n_rows": "_decided_rows", "digest": "_decided"}), "file", "full").join(
+        after.withColumnRenamed("n_rows", "rows_written"), "file", "full")
     total, out = F.coalesce("total_rows", F.lit(0)), F.coalesce("rows_written", F.lit(0))
     agrees = lambda a, b: F.coalesce(F.col(a) == F.col(b), F.lit(False))
     return both.select(
@@ -80,6 +83,16 @@ def content_check(job: Harmonization, written: DataFrame, columns: Sequence[str]
         (agrees("decided", "_decided") & agrees("rows_written", "_decided_rows")).alias("decisions_match"))
 
 
+def content_check(job: Harmonization, written: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The :func:`agreement` of written rows with the job.
+
+    ``columns`` are the source columns that were written, the file is one of them.
+    Without the columns of the value, the decisions are compared file by file and
+    not value by value.  A file that is on one side only agrees in nothing.
+    """
+    return agreement(*expected_digests(job, columns), written_digests(job, written, columns, _has_value(job, columns)))
+
+
 def write_checked(job: Harmonization, path: str, keep: Sequence[str] = (), clustered: bool = False,
                   compression: str | None = None) -> DataFrame:
     """Write all rows, prove their content and make them visible at ``path``; gives the check of each file.
@@ -91,12 +104,18 @@ def write_checked(job: Harmonization, path: str, keep: Sequence[str] = (), clust
     if path_exists(spark, path):
         raise FileExistsError(path)
     staged = staged_path(path)
-    kept = job.output_keep(keep)
-    rows = job.harmonized(kept)
-    sinks.write_harmonized(rows, staged, job.columns.position, clustered, compression, job.columns.file)
+    rows = job.harmonized(job.output_keep(keep))
     columns = [c for c in rows.columns if c not in NEW_COLUMNS]
-    checked = content_check(job, sinks.read_harmonized(spark, staged, rows.schema), columns)
-    found = spark.createDataFrame(checked.orderBy("file").toArrow())  # a row for each file
+    before, decided = expected_digests(job, columns)
+    # what is expected is counted while the rows are written; a row for each file comes back
+    done = side_by_side({
+        "write": lambda: sinks.write_harmonized(rows, staged, job.columns.position, clustered, compression, job.columns.file),
+        "before": before.toArrow,
+        "decided": decided.toArrow,
+    })
+    after = written_digests(job, sinks.read_harmonized(spark, staged, rows.schema), columns, _has_value(job, columns)).toArrow()
+    found = agreement(*[spark.createDataFrame(table) for table in (done["before"], done["decided"], after)])
+    found = spark.createDataFrame(found.orderBy("file").toArrow())
     wrong = found.filter(~(F.col("row_count_match") & F.col("source_match") & F.col("decisions_match"))).collect()
     if wrong:
         raise ContentMismatch(f"{len(wrong)} files differ, rows are kept in {staged}:\n  " + "\n  ".join(str(r.asDict()) for r in wrong))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +17,17 @@ from assayloom.operators.scope import OrderFilter, flag_scope, linked_orders, or
 from assayloom.operators.units import UnitRules
 from assayloom.plans import reports
 from assayloom.plans.checked import write_checked
+from assayloom.plans.together import side_by_side
 from assayloom.rules import LabColumns, RuleSet, ScopeRules, TextRules
 from assayloom.session import prepare
 from assayloom.sources import sinks
 from assayloom.sources.lab import check_columns, open_lab
 from assayloom.sources.rule_tables import conversion_table, read_conversions, read_synonyms, synonym_table
-from assayloom.sources.store import BROADCAST_BYTES, BROADCAST_ROWS, discard, fits_broadcast, new_path, save_table
+from assayloom.sources.store import BROADCAST_BYTES, BROADCAST_ROWS, discard, fits_broadcast, new_path, save_measured, save_table
 
-#: Reports that are written side by side; most of the time of a small one is planning.
-REPORTS_AT_ONCE = 8
+
+#: Columns of the decisions that are not part of the lookup.
+NOT_LOOKED_UP = ("file", "excluded_by", "name")
 
 
 class Harmonization:
@@ -74,6 +75,10 @@ class Harmonization:
         self._saved.append(new_path(df.sparkSession, name))
         return save_table(df, name, self._saved[-1])
 
+    def _fits(self, size: tuple[int, int]) -> bool:
+        """Whether a table of so many rows and bytes may be sent to every executor."""
+        return all(measured <= limit for measured, limit in zip(size, self.limits))
+
     @cached_property
     def linked(self) -> DataFrame | None:
         """Orders with an excluded row; ``None`` when the link rule is off."""
@@ -82,11 +87,13 @@ class Harmonization:
         orders = self._known_linked
         if orders is None:
             orders = linked_orders(self.source, self.columns, self.rules.scope)
-        return self._save(orders, "linked-orders")
+        self._saved.append(new_path(orders.sparkSession, "linked-orders"))
+        saved, self._linked_size = save_measured(orders, self._saved[-1])
+        return saved
 
     @cached_property
     def _broadcast_linked(self) -> bool:
-        return self.linked is not None and fits_broadcast(self.linked, *self.limits)
+        return self.linked is not None and self._fits(self._linked_size)
 
     @cached_property
     def order_filter(self) -> OrderFilter | None:
@@ -111,8 +118,10 @@ class Harmonization:
     @cached_property
     def decisions(self) -> DataFrame:
         """Saved decisions, with one more row per file and reason for the excluded rows."""
-        decided = label_excluded(self.decide(self.value_counts()), self.rules.scope.label)
-        return self._save(decision_columns(decided), "decisions")
+        decided = decision_columns(label_excluded(self.decide(self.value_counts()), self.rules.scope.label))
+        self._saved.append(new_path(decided.sparkSession, "decisions"))
+        saved, self._lookup_size = save_measured(decided, self._saved[-1], [c for c in decided.columns if c not in NOT_LOOKED_UP])
+        return saved
 
     @cached_property
     def lookup(self) -> DataFrame | None:
@@ -122,7 +131,7 @@ class Harmonization:
         are too large, it is saved and measured itself.
         """
         table = lookup_table(self.decisions)
-        if fits_broadcast(self.decisions.drop("file", "excluded_by", "name"), *self.limits):
+        if self._fits(self._lookup_size):
             return table
         about = self.decisions.agg(F.approx_count_distinct(F.struct(*JOIN_KEYS))).first()[0]
         if about > self.limits[0]:
@@ -165,13 +174,6 @@ class Harmonization:
         return reports.units_not_registered(self.decisions, self.units.conversions)
 
 
-def side_by_side(work: dict[str, Callable[[], object]], at_once: int = REPORTS_AT_ONCE) -> dict[str, object]:
-    """Results of independent Spark jobs that are submitted together; the first error is raised."""
-    with ThreadPoolExecutor(at_once) as pool:
-        running = {name: pool.submit(task) for name, task in work.items()}
-        return {name: task.result() for name, task in running.items()}
-
-
 def write_run(
     job: Harmonization,
     output: str,

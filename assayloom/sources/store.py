@@ -10,8 +10,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -93,15 +96,29 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _size(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregates ``n`` and ``bytes`` of the columns as a broadcast would hold them (8 bytes per value that is not text)."""
+    texts = [c for c in columns if df.schema[c].dataType.typeName() == "string"]
+    width = reduce(add, [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)).cast("long") for c in texts], F.lit(8 * len(columns)).cast("long"))
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0).cast("long")).alias("bytes")]
+
+
+def save_measured(df: DataFrame, path: str, columns: Sequence[str] = ()) -> tuple[DataFrame, tuple[int, int]]:
+    """Write the table, read it from there, and give the rows and bytes of some of its columns, taken while it was written.
+
+    A task that is done again may count its rows twice, so the size is never too small.
+    """
+    seen = Observation()
+    df.observe(seen, *_size(df, columns or df.columns)).write.parquet(path)
+    saved, size = df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+    if "n" not in size:  # an empty table may be written without its plan
+        return saved, size_of(saved.select(*columns) if columns else saved)
+    return saved, (size["n"], size["bytes"])
+
+
 def size_of(df: DataFrame) -> tuple[int, int]:
-    """Rows and bytes of a table as a broadcast would hold it (8 bytes per value that is not text)."""
-    width = F.lit(0).cast("long")
-    for column in df.schema:
-        if column.dataType.typeName() == "string":
-            width = width + 8 + F.coalesce(F.octet_length(f"`{column.name}`"), F.lit(0))
-        else:
-            width = width + 8
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    """Rows and bytes of a table as a broadcast would hold it."""
+    row = df.agg(*_size(df, df.columns)).first()
     return row["n"], row["bytes"]
 
 
