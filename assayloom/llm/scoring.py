@@ -6,8 +6,8 @@ loss is its negative log-probability; a document's score is the mean difference
 of its losses, so low scores mark texts that are more like the target.
 
 Every word and every bigram of the corpus counts, however rare; both are known by
-64-bit hashes.  Counts are saved tables with a row for each bigram.  Texts never move:
-a task adds up the tokens whose bigrams are frequent (a bounded list that is sent to
+64-bit hashes.  Counts are saved tables with a row for each bigram.  Texts stay where
+they are (see ``flag_good`` for very many labels): a task adds up the tokens whose bigrams are frequent (a bounded list that is sent to
 every executor) and gives out the others as rows of document and bigram, which meet
 their losses in a join.  Which bigrams are on the list changes no result.
 """
