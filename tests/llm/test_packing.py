@@ -6,9 +6,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from assayloom.llm.packing import fullest, pack_documents, plan_bins, token_sequences
+from assayloom.llm.packing import WordIds, encode, fullest, pack_documents, plan_bins, token_sequences
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -94,3 +95,32 @@ def test_plan_uses_every_piece():
             used[x] += n * times
     assert used == histogram
     assert bins <= 1.001 * sum(x * n for x, n in histogram.items()) / 2048 + 1
+
+
+class Counting:
+    """A tokenizer that counts the texts it gets; without ``ends`` its vocabulary does not mark where words end."""
+
+    def __init__(self, ends=True):
+        self.coder, self.ends, self.texts = Tokenizer.from_file(PATH), ends, 0
+
+    def get_vocab(self):
+        return {token if self.ends else token.replace("</w>", "_"): i for token, i in self.coder.get_vocab().items()}
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.coder.encode_batch_fast(texts, **options)
+
+
+def test_plain_words_are_tokenized_together():
+    rng = random.Random(5)
+    plain = sorted({"".join(rng.choices("abcdefghijklmnoprstuvwxyzßàéèöøÿ", k=rng.randint(1, 14))) for _ in range(3000)})
+    odd = ["don't", "a1b22", "İx", "ª", "µm", "x÷y", "e\u0301a", "</w>", "a</w>b", "<|endoftext|>", "日本", "ﬁ", "!?", "\u0301", "O'LL", "\xa0a\xa0"]
+    mixed = plain + odd * 3
+    rng.shuffle(mixed)
+    texts = [" ".join(mixed[i : i + 97]) for i in range(0, len(mixed), 97)] + ["", "a", "a", " b\n\na "]
+    whole = Tokenizer.from_file(PATH)
+    for tokenizer, most in ((Counting(), 100), (Counting(ends=False), 4000)):
+        ids, offsets = encode(pa.array(texts), WordIds(tokenizer))
+        for i, text in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0]
+        assert tokenizer.texts < most
