@@ -1,0 +1,57 @@
+"""Queries that save tables, in a session with several processes and a shared folder without a scheme."""
+
+from __future__ import annotations
+
+import datetime
+import importlib.util
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+REPO = Path(__file__).parent.parent
+QUERIES = [
+    "audit_registry", "code_dictionary", "canonical_unit", "conversion_dim", "code_dictionary_long", "conversions_applied",
+    "conversion_status_counts", "conversions_file", "convert_units", "decisions_file", "conversions_used", "decisions",
+    "distinct_values", "distribution_comparison", "excluded_counts", "file_summary", "folder_distribution", "excluded_label",
+    "folder_rows", "harmonized_in_place", "folder_harmonized", "lab_scan", "action_counts", "harmonized_rows",
+]
+RUN = """
+import sys
+top, *names = sys.argv[1:]
+from pyspark.sql import SparkSession
+import __spark_entry__
+
+conf = {"spark.checkpoint.dir": f"{top}/shared", "spark.sql.warehouse.dir": f"{top}/warehouse", "spark.local.dir": f"{top}/local",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.host": "127.0.0.1",
+        "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "2"}
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config(map=conf).getOrCreate()
+for name in names:
+    __spark_entry__.queries()[name](spark, f"{top}/tables").write.parquet(f"{top}/result/{name}")
+spark.stop()
+"""
+
+
+def test_saved_tables_on_a_cluster(tmp_path):
+    home = tmp_path / "home"
+    (home / "work").mkdir(parents=True)
+    for part in Path(importlib.util.find_spec("pyspark").origin).parent.iterdir():  # executors log below Spark's home
+        if part.name != "work":
+            (home / part.name).symlink_to(part)
+    n = 300
+    lines = {"l_orderkey": [i // 3 for i in range(n)], "l_partkey": [i * 7 for i in range(n)], "l_suppkey": [i % 13 for i in range(n)],
+             "l_linenumber": [i % 3 + 1 for i in range(n)], "l_quantity": [float(i % 50) for i in range(n)],
+             "l_shipdate": [datetime.date(1995 + i % 2, 1, 1) for i in range(n)]}
+    (tmp_path / "tables").mkdir()
+    types = {"l_orderkey": pa.int64(), "l_partkey": pa.int64(), "l_suppkey": pa.int64(), "l_linenumber": pa.int32()}
+    pq.write_table(pa.table({name: pa.array(values, types.get(name)) for name, values in lines.items()}), tmp_path / "tables" / "lineitem.parquet")
+    env = os.environ | {"SPARK_HOME": str(home), "PYTHONPATH": str(REPO), "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1"}
+    env = {name: value for name, value in env.items() if name not in ("PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run([sys.executable, "-c", RUN, str(tmp_path), *QUERIES], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    rows = lambda name: pq.read_table(tmp_path / "result" / name).num_rows
+    assert [rows(name) for name in ("lab_scan", "harmonized_rows", "folder_harmonized", "harmonized_in_place", "folder_rows")] == [n] * 5
+    assert all(rows(name) for name in ("decisions", "decisions_file", "file_summary", "conversions_file"))
