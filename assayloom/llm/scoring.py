@@ -6,19 +6,26 @@ loss is its negative log-probability; a document's score is the mean difference
 of its losses, so low scores mark texts that are more like the target.
 
 Every word and every bigram of the corpus counts, however rare; both are known by
-64-bit hashes.  Counts are saved tables with a row for each bigram.  Texts stay where
-they are (see ``flag_good`` for very many labels): a task adds up the tokens whose bigrams are frequent (a bounded list that is sent to
-every executor) and gives out the others as rows of document and bigram, which meet
-their losses in a join.  Which bigrams are on the list changes no result.
+64-bit hashes.  Most bigrams stand in the corpus once, and what such a one adds to
+the loss follows from its two words and from whether its document is good.  So each
+token gets the loss of a bigram that comes once, and bigrams that come again add
+the difference to their own loss: only these are kept in a table, and single ones
+meet nothing in the join.  Frequent words and bigrams (bounded lists) are sent to
+every executor, the others are joined.  Which ones are on the lists changes no result.
+
+Texts stay where they are (see ``flag_good`` for very many labels) and are cut into
+words again in each pass.  Bigrams are counted and joined in ``PARTS`` shares of
+their hashes, one after another, so only one share is on its way at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keys import EXCLUDED_BY
@@ -31,11 +38,16 @@ from .words import Words, mix, slices, words_of
 
 #: Weight of a word's own probability after a context, in tokens, and added to each word's count.
 CONTEXT_WEIGHT, WORD_WEIGHT = 50.0, 0.5
-#: A bigram is frequent from this share of all tokens, so at most 500,000 are.
+#: A bigram is frequent from this share of all tokens, so at most 500,000 are; a word from a quarter of it.
 FREQUENT = 2e-6
 SLICE_BYTES = 1 << 22
+#: Shares of the bigrams that are counted and joined one after another.
+PARTS = 2
+#: Rows of bigrams that meet in one task, about.
+TASK_ROWS = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_PART_SHIFT = 33
 
 
 def flag_good(docs: DataFrame, good: DataFrame) -> DataFrame:
@@ -57,94 +69,217 @@ def flag_good(docs: DataFrame, good: DataFrame) -> DataFrame:
     return flagged.withColumn("good", F.col(EXCLUDED_BY).isNotNull()).drop(EXCLUDED_BY)
 
 
-def _bigrams(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each word its bigram, the word before it, the word, and whether there is one before it in its text."""
-    word = word_hashes(words)
-    before = np.zeros(len(word), np.uint64)
-    before[1:] = word[:-1]
-    follows = np.ones(len(word), bool)
-    follows[words.first[:-1][words.count > 0]] = False
-    before[~follows] = 0
-    bigram = mix(before * _STEP + word + follows.astype(np.uint64))
-    return bigram.view(np.int64), before.view(np.int64), word.view(np.int64), follows
+def _ends(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """For each word whether it is the first and whether it is the last of its text."""
+    first, last = np.zeros(len(words.start), bool), np.zeros(len(words.start), bool)
+    some = words.count > 0
+    first[words.first[:-1][some]] = True
+    last[words.first[1:][some] - 1] = True
+    return first, last
 
 
-def count_bigrams(docs: DataFrame) -> DataFrame:
-    """``bigram``, ``before`` (null for the first word of a text), ``word``, ``n`` in all texts, ``good`` in those of the target."""
+def _bigrams(word: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words that follow another one in their text, and their bigrams."""
+    at = np.flatnonzero(~first)
+    return at, mix(word[at - 1] * _STEP + word[at] + np.uint64(1))
+
+
+def _of_part(bigram: np.ndarray, part: int) -> np.ndarray:
+    return (bigram >> np.uint64(_PART_SHIFT)) % np.uint64(PARTS) == part
+
+
+def _good(part: pa.RecordBatch, words: Words) -> np.ndarray:
+    """For each word whether its document is good."""
+    return np.repeat(part["good"].to_numpy(zero_copy_only=False).astype(bool), words.count)
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """``word``, ``n`` in all texts, ``good`` in those of the target, ``after`` and ``good_after`` without the last words of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 words = words_of(part["text"], lower_ascii=True)
-                bigram, before, word, follows = _bigrams(words)
-                good = np.repeat(part["good"].to_numpy(zero_copy_only=False).astype(bool), words.count)
-                found, at, place = np.unique(bigram, return_index=True, return_inverse=True)
+                good, last = _good(part, words), _ends(words)[1]
+                found, place = np.unique(word_hashes(words), return_inverse=True)
+                counts = [np.bincount(place[some], minlength=len(found)) for some in (slice(None), good, ~last, good & ~last)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *map(pa.array, counts)], NAMES)
+
+    counted = docs.select("text", "good").mapInArrow(run, ", ".join(f"{name} long" for name in NAMES))
+    return counted.groupBy("word").agg(*[F.sum(name).alias(name) for name in NAMES[1:]])
+
+
+NAMES = ["word", "n", "good", "after", "good_after"]
+
+
+def count_again(docs: DataFrame, part: int, tasks: int) -> DataFrame:
+    """``bigram``, its second ``word``, ``n`` in all texts, ``good`` in those of the target: bigrams of a part that come twice or more."""
+    names = ["bigram", "word", "n", "good"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in slices(batch, "text", SLICE_BYTES):
+                words = words_of(rows["text"], lower_ascii=True)
+                word = word_hashes(words)
+                at, bigram = _bigrams(word, _ends(words)[0])
+                mine = _of_part(bigram, part)
+                at = at[mine]
+                found, first, place = np.unique(bigram[mine], return_index=True, return_inverse=True)
+                good = np.bincount(place[_good(rows, words)[at]], minlength=len(found))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array(before[at], mask=~follows[at]), pa.array(word[at]),
-                     pa.array(np.bincount(place, minlength=len(found))), pa.array(np.bincount(place[good], minlength=len(found)))],
-                    ["bigram", "before", "word", "n", "good"])
+                    [pa.array(found.view(np.int64)), pa.array(word[at[first]].view(np.int64)),
+                     pa.array(np.bincount(place, minlength=len(found))), pa.array(good)], names)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        bigram, word, n, good = (table[name].to_numpy() for name in names)
+        order = np.argsort(bigram)
+        bigram = bigram[order]
+        first = np.flatnonzero(np.append(True, bigram[1:] != bigram[:-1]))
+        n, good = np.add.reduceat(n[order], first), np.add.reduceat(good[order], first)
+        again = n > 1
+        first = first[again]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bigram[first], word[order[first]], n[again], good[again])], names)
+
+    schema = ", ".join(f"{name} long" for name in names)
+    return docs.select("text", "good").mapInArrow(run, schema).repartition(tasks, "bigram").mapInArrow(total, schema)
+
+
+class Model:
+    """Losses from counts, as columns or arrays: of the background, of the target in good documents, of the target in others."""
+
+    def __init__(self, tokens: int, good_tokens: int, n_words: int):
+        added = WORD_WEIGHT * n_words
+        self.tokens, self.good_tokens = tokens + added, good_tokens + added
+
+    def shares(self, n, good):
+        return (n + WORD_WEIGHT) / self.tokens, (good + WORD_WEIGHT) / self.good_tokens
 
-    counted = docs.select("text", "good").mapInArrow(run, "bigram long, before long, word long, n long, good long")
-    return counted.groupBy("bigram", "before", "word").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    def own(self, log, n, good) -> tuple:
+        """What a word adds after another one, if their bigram comes once."""
+        every, some = (CONTEXT_WEIGHT * share for share in self.shares(n, good))
+        return -log(every + 1.0), -log(some + 1.0), -log(some)
 
+    def first(self, log, n, good) -> tuple:
+        """The loss of the first word of a text."""
+        every, some = self.shares(n, good)
+        return -log(every), -log(some), -log(some)
 
-def bigram_losses(bigrams: DataFrame, tokens: int, good_tokens: int) -> DataFrame:
-    """``bigram``, ``n``, ``target``, ``background``: losses of the word of each bigram in both models."""
-    words = Saved(bigrams.groupBy("word").agg(F.sum("n").alias("word_n"), F.sum("good").alias("word_good")), "words", lean=True)
-    added = WORD_WEIGHT * words.df.count()
-    after = bigrams.filter(F.col("before").isNotNull()).groupBy("before").agg(
-        F.sum("n").alias("context_n"), F.sum("good").alias("context_good"))
-    rows = bigrams.join(words.df, "word").join(after, "before", "left")
+    def before(self, log, after, good_after) -> tuple:
+        """What a word adds to the loss of the next one."""
+        some = log(good_after + CONTEXT_WEIGHT)
+        return log(after + CONTEXT_WEIGHT), some, some
 
-    def loss(count: str, total: int):
-        share = (F.col(f"word_{count}") + WORD_WEIGHT) / F.lit(total + added)
-        seen = (F.col(count) + CONTEXT_WEIGHT * share) / (F.col(f"context_{count}") + CONTEXT_WEIGHT)
-        return -F.log(F.when(F.col("before").isNull(), share).otherwise(seen))
+    def again(self, log, n, good, word_n, word_good) -> tuple:
+        """What a bigram adds that comes again."""
+        every, some = (CONTEXT_WEIGHT * share for share in self.shares(word_n, word_good))
+        once = self.own(log, word_n, word_good)
+        return -log(n + every) - once[0], -log(good + some) - once[1], -log(good + some) - once[2]
 
-    return rows.select("bigram", "n", loss("good", good_tokens).alias("target"), loss("n", tokens).alias("background"))
 
+def with_words(again: DataFrame, words: DataFrame, bar: float) -> DataFrame:
+    """``bigram``, ``n``, ``good``, ``word_n``, ``word_good``; frequent words are sent, so no word makes a hot task."""
+    counts = words.select("word", F.col("n").alias("word_n"), F.col("good").alias("word_good"))
+    often = F.broadcast(counts.filter(F.col("word_n") >= bar))
+    near = again.join(often, "word")
+    far = again.join(often.select("word"), "word", "left_anti").join(counts.filter(F.col("word_n") < bar), "word")
+    return near.unionByName(far).drop("word")
 
-def document_losses(docs: DataFrame, frequent: pa.Table) -> DataFrame:
-    """Rows of documents and of their rare bigrams.
 
-    A row of a document has ``doc``, ``id``, ``n_tokens`` and the sums of the losses of its
-    frequent bigrams; a row of a rare one has ``doc``, ``bigram`` and how often it is there.
+def _losses(values: tuple) -> list[Column]:
+    return [value.alias(name) for value, name in zip(values, LOSSES, strict=True)]
+
+
+LOSSES = ["background", "good_target", "other_target"]
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the keys in a sorted table, and which are there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return place, table[place] == keys
+
+
+def _arrays(table: pa.Table) -> list[np.ndarray]:
+    """Columns of a collected table, sorted by the first one, which holds hashes."""
+    key, *others = (table[name].to_numpy() for name in table.column_names)
+    order = np.argsort(key.view(np.uint64))
+    return [key.view(np.uint64)[order], *[values[order] for values in others]]
+
+
+def document_words(docs: DataFrame, words: pa.Table, bigrams: pa.Table, model: Model) -> DataFrame:
+    """Rows of documents and of their rare words.
+
+    A row of a document has ``doc``, ``id``, ``n_tokens`` and the sums of what its frequent
+    words and bigrams add; a row of a rare word has ``doc``, ``good``, ``word``, and whether
+    the word is the first or the last of the text.
     """
-    table = frequent.sort_by("bigram").combine_chunks()
-    known = [table[c].to_numpy() for c in ("bigram", "target", "background")]
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+    shared = docs.sparkSession.sparkContext.broadcast((_arrays(words), _arrays(bigrams)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, *losses = shared.value
+        (often, n, good, after, good_after), (frequent, *adds) = shared.value
+        roles = model.own(np.log, n, good), model.first(np.log, n, good), model.before(np.log, after, good_after)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                words = words_of(part["text"], lower_ascii=True)
-                bigram = _bigrams(words)[0]
-                n = words.count
-                doc = np.repeat(np.arange(len(n)), n)
-                place = np.minimum(np.searchsorted(often, bigram), max(len(often) - 1, 0))
-                found = often[place] == bigram if len(often) else np.zeros(len(bigram), bool)
-                sums = [np.bincount(doc[found], weights=loss[place[found]], minlength=len(n)).astype(np.float64) for loss in losses]
-                order = np.lexsort((bigram[~found], doc[~found]))
-                rare, of = bigram[~found][order], doc[~found][order]
-                new = np.ones(len(rare), bool)
-                new[1:] = (rare[1:] != rare[:-1]) | (of[1:] != of[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(rare)))
-                none, key = len(first), part["doc"]
+                cut = words_of(part["text"], lower_ascii=True)
+                word, flag = word_hashes(cut), _good(part, cut)
+                first, last = _ends(cut)
+                doc = np.repeat(np.arange(len(cut.count)), cut.count)
+                place, known = _found(often, word)
+                at, bigram = _bigrams(word, first)
+                spot, there = _found(frequent, bigram)
+                at, spot = at[there], spot[there]
+                sums = []
+                for pick in ((0, 0), (1, 2)):  # the background, and the target in good documents or others
+                    total = np.zeros(len(cut.count))
+                    for values, of in zip(roles, (known & ~first, known & first, known & ~last), strict=True):
+                        total += np.bincount(doc[of], np.where(flag[of], values[pick[0]][place[of]], values[pick[1]][place[of]]), len(total))
+                    total += np.bincount(doc[at], np.where(flag[at], adds[pick[0]][spot], adds[pick[1]][spot]), len(total))
+                    sums.append(total)
+                rare = np.flatnonzero(~known)
+                none, no_word = len(rare), len(cut.count)
                 yield pa.RecordBatch.from_arrays(
-                    [key, part["id"], pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
-                    NAMES)
+                    [part["doc"], part["id"], pa.array(cut.count), pa.array(sums[0]), pa.array(sums[1]), part["good"], pa.nulls(no_word, pa.int64()),
+                     pa.nulls(no_word, pa.bool_()), pa.nulls(no_word, pa.bool_())], ROW)
                 yield pa.RecordBatch.from_arrays(
-                    [key.take(pa.array(of[first])), pa.nulls(none, part["id"].type), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()),
-                     pa.nulls(none, pa.float64()), pa.array(rare[first]), pa.array(times)], NAMES)
+                    [part["doc"].take(pa.array(doc[rare])), pa.nulls(none, part["id"].type), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()),
+                     pa.nulls(none, pa.float64()), pa.array(flag[rare]), pa.array(word[rare].view(np.int64)), pa.array(first[rare]), pa.array(last[rare])], ROW)
 
     kind = docs.schema["id"].dataType.simpleString()
-    rows = docs.select("id", "text").withColumn("doc", F.monotonically_increasing_id())
-    return rows.mapInArrow(run, f"doc long, id {kind}, n_tokens long, target double, background double, bigram long, times long")
+    return docs.select("doc", "id", "text", "good").mapInArrow(
+        run, f"doc long, id {kind}, n_tokens long, background double, target double, good boolean, word long, first boolean, last boolean")
+
+
+ROW = ["doc", "id", "n_tokens", "background", "target", "good", "word", "first", "last"]
+
+
+def document_bigrams(docs: DataFrame, bigrams: pa.Table, part: int) -> DataFrame:
+    """``doc``, ``good``, ``bigram``: a row for each bigram of a part in a text that is not on the list."""
+    shared = docs.sparkSession.sparkContext.broadcast(_arrays(bigrams.select(["bigram"])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (frequent,) = shared.value
+        for batch in batches:
+            for rows in slices(batch, "text", SLICE_BYTES):
+                words = words_of(rows["text"], lower_ascii=True)
+                at, bigram = _bigrams(word_hashes(words), _ends(words)[0])
+                mine = np.flatnonzero(_of_part(bigram, part))
+                mine = mine[~_found(frequent, bigram[mine])[1]]
+                doc = np.repeat(np.arange(len(words.count)), words.count)[at[mine]]
+                of = pa.array(doc)
+                yield pa.RecordBatch.from_arrays(
+                    [rows["doc"].take(of), rows["good"].take(of), pa.array(bigram[mine].view(np.int64))], ["doc", "good", "bigram"])
+
+    return docs.select("doc", "text", "good").mapInArrow(run, "doc long, good boolean, bigram long")
 
 
-NAMES = ["doc", "id", "n_tokens", "target", "background", "bigram", "times"]
+def _sums(rows: DataFrame, name: str, background: Column, target: Column) -> Saved:
+    """Sums of a document, whether it comes once or more."""
+    return Saved(rows.groupBy("doc").agg(F.sum(background).alias("background"), F.sum(target).alias("target")), name, lean=True)
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, good: str = "quality = 1 and toxic = 0", id_column: str = "doc_id",
@@ -158,28 +293,54 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, good: str = "qu
     - Without good labels all words are alike to the target.
     - Other columns are left out; no rows give no rows.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"))
     chosen = labels.filter(good).select(column(labels, id_column).alias("id")).filter("id is not null").distinct()
-    bigrams = Saved(count_bigrams(flag_good(rows, chosen)), "bigrams", lean=True)
-    total = bigrams.df.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
-    tokens, good_tokens = total["n"] or 0, total["good"] or 0
-    losses = Saved(bigram_losses(bigrams.df, tokens, good_tokens), "losses", lean=True)
-    bigrams.discard()
-    # at most 1 / frequent rows
-    often = losses.df.filter(F.col("n") >= max(2.0, frequent * tokens)).select("bigram", "target", "background").toArrow()
-    found = Saved(document_losses(rows, often), "documents", lean=True)
-    rare = found.df.filter(F.col("bigram").isNotNull()).select("doc", "bigram", "times")
-    met = rare.join(losses.df.select("bigram", "target", "background"), "bigram")
-    sums = Saved(met.groupBy("doc").agg(F.sum(F.col("times") * F.col("target")).alias("rare_target"),
-                                        F.sum(F.col("times") * F.col("background")).alias("rare_background")), "rare", lean=True)
-    losses.discard()
-    every = found.df.filter(F.col("n_tokens").isNotNull()).join(sums.df, "doc", "left")
-
-    def mean(name: str):
-        whole = F.col(name) + F.coalesce(F.col(f"rare_{name}"), F.lit(0.0))
-        return F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens"))
-
-    scored = every.select("id", "n_tokens", mean("target").alias("target_loss"), mean("background").alias("background_loss"))
+    # rows of one id and text share a key and a score
+    flagged = flag_good(rows, chosen).withColumn("doc", F.xxhash64("id", F.lit(0), "text"))
+
+    words = Saved(count_words(flagged), "words", lean=True)
+    total = words.df.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("words")).first()
+    tokens = total["n"] or 0
+    model = Model(tokens, total["good"] or 0, total["words"])
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // (PARTS * TASK_ROWS)))
+    word_bar, bar = max(2.0, frequent / 4 * tokens), max(2.0, frequent * tokens)
+    often = words.df.filter(F.col("n") >= word_bar).toArrow()  # at most 4 / frequent rows
+
+    counted = [Saved(count_again(flagged, part, tasks), "bigrams", lean=True) for part in range(PARTS)]
+    again = Saved(with_words(reduce(DataFrame.unionByName, [c.df for c in counted]), words.df, word_bar), "again", lean=True)
+    for each in counted:
+        each.discard()
+    added = again.df.select("bigram", "n", *_losses(model.again(F.log, *map(F.col, ("n", "good", "word_n", "word_good")))))
+    listed = added.filter(F.col("n") >= bar).select("bigram", *LOSSES).toArrow()  # at most 1 / frequent rows
+
+    found = Saved(document_words(flagged, often, listed, model), "documents", lean=True)
+    n, of_good, after, good_after = map(F.col, ("n", "of_good", "after", "good_after"))
+    rare = words.df.withColumnRenamed("good", "of_good").filter(n < word_bar)
+    met = found.df.filter(F.col("word").isNotNull()).select("doc", "good", "word", "first", "last").join(rare, "word")
+    own, first, before = model.own(F.log, n, of_good), model.first(F.log, n, of_good), model.before(F.log, after, good_after)
+    value = [F.when(F.col("first"), first[i]).otherwise(own[i]) + F.when(F.col("last"), 0.0).otherwise(before[i]) for i in range(3)]
+    sums = [_sums(met, "rare-words", value[0], F.when(F.col("good"), value[1]).otherwise(value[2]))]
+    words.discard()
+    for part in range(PARTS):
+        mine = F.pmod(F.shiftrightunsigned("bigram", _PART_SHIFT), F.lit(PARTS)) == part
+        theirs = added.filter(mine & (F.col("n") < bar)).drop("n").repartition(tasks, "bigram")
+        met = document_bigrams(flagged, listed, part).repartition(tasks, "bigram").join(theirs.hint("shuffle_hash"), "bigram")
+        target = F.when(F.col("good"), F.col("good_target")).otherwise(F.col("other_target"))
+        sums.append(_sums(met, "rare-bigrams", F.col("background"), target))
+    again.discard()
+
+    every = found.df.filter(F.col("n_tokens").isNotNull()).select("doc", "id", "n_tokens", "background", "target")
+    more = reduce(DataFrame.unionByName, [s.df for s in sums]).groupBy("doc").agg(
+        F.sum("background").alias("rare_background"), F.sum("target").alias("rare_target"))
+    copies = every.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"))
+    scored = every.join(more.join(copies, "doc"), "doc", "left")
+
+    def mean(name: str) -> Column:
+        whole = F.col(name) + F.coalesce(F.col(f"rare_{name}") / F.col("copies"), F.lit(0.0))
+        return F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens")).alias(f"{name}_loss")
+
+    scored = scored.select("id", "n_tokens", mean("target"), mean("background"))
     return scored.select(
         F.col("id").alias(id_column), "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("difference"))
