@@ -196,12 +196,25 @@ def _losses(values: tuple) -> list[Column]:
 LOSSES = ["background", "good_target", "other_target"]
 
 
-def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the keys in a sorted table, and which are there."""
-    if not len(table):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    place = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return place, table[place] == keys
+class Listed:
+    """A sorted list of hashes; ``start`` has the place of the first one of each slot of leading bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.append(keys, np.uint64(0))  # the last one is never met
+        bits = len(keys).bit_length() + 2
+        self.shift = np.uint64(64 - bits)
+        self.start = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(keys)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the keys, and which are there."""
+        slot = keys >> self.shift
+        place, upto = self.start[slot], self.start[slot + np.uint64(1)]
+        there = (self.keys[place] == keys) & (place < upto)
+        more = np.flatnonzero(~there & (upto - place > 1))
+        if len(more):
+            place[more] = np.searchsorted(self.keys[:-1], keys[more])
+            there[more] = self.keys[place[more]] == keys[more]
+        return place, there & (place < upto)
 
 
 def _arrays(table: pa.Table) -> list[np.ndarray]:
@@ -215,66 +228,67 @@ def document_words(docs: DataFrame, words: pa.Table, bigrams: pa.Table, model: M
     """Rows of documents and of their rare words.
 
     A row of a document has ``doc``, ``id``, ``n_tokens`` and the sums of what its frequent
-    words and bigrams add; a row of a rare word has ``doc``, ``good``, ``word``, and whether
+    words and bigrams add; a row of a rare word has ``doc``, ``word``, and whether
     the word is the first or the last of the text.
     """
     shared = docs.sparkSession.sparkContext.broadcast((_arrays(words), _arrays(bigrams)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (often, n, good, after, good_after), (frequent, *adds) = shared.value
-        roles = model.own(np.log, n, good), model.first(np.log, n, good), model.before(np.log, after, good_after)
+        own, start, before = model.own(np.log, n, good), model.first(np.log, n, good), model.before(np.log, after, good_after)
+        inside = [a + b for a, b in zip(own, before, strict=True)]
+        begins = [a - b for a, b in zip(start, own, strict=True)]
+        often, frequent = Listed(often), Listed(frequent)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 cut = words_of(part["text"], lower_ascii=True)
-                word, flag = word_hashes(cut), _good(part, cut)
+                word = word_hashes(cut)
                 first, last = _ends(cut)
                 doc = np.repeat(np.arange(len(cut.count)), cut.count)
-                place, known = _found(often, word)
+                place, known = often.find(word)
                 at, bigram = _bigrams(word, first)
-                spot, there = _found(frequent, bigram)
-                at, spot = at[there], spot[there]
-                sums = []
-                for pick in ((0, 0), (1, 2)):  # the background, and the target in good documents or others
-                    total = np.zeros(len(cut.count))
-                    for values, of in zip(roles, (known & ~first, known & first, known & ~last), strict=True):
-                        total += np.bincount(doc[of], np.where(flag[of], values[pick[0]][place[of]], values[pick[1]][place[of]]), len(total))
-                    total += np.bincount(doc[at], np.where(flag[at], adds[pick[0]][spot], adds[pick[1]][spot]), len(total))
-                    sums.append(total)
+                spot, there = frequent.find(bigram)
+                sums = [np.zeros(len(cut.count)) for _ in LOSSES]  # the background, the target if the document is good, and if not
+                # a word inside a text, what is other at its ends, and bigrams
+                for of, where, values in ((known, place, inside), (known & first, place, begins), (known & last, place, [-x for x in before]), (there, spot, adds)):
+                    of = np.flatnonzero(of)
+                    where, text = where[of], doc[at[of]] if values is adds else doc[of]
+                    for total, value in zip(sums, values, strict=True):
+                        total += np.bincount(text, value[where], len(total))
+                target = np.where(part["good"].to_numpy(zero_copy_only=False).astype(bool), sums[1], sums[2])
                 rare = np.flatnonzero(~known)
                 none, no_word = len(rare), len(cut.count)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc"], part["id"], pa.array(cut.count), pa.array(sums[0]), pa.array(sums[1]), part["good"], pa.nulls(no_word, pa.int64()),
+                    [part["doc"], part["id"], pa.array(cut.count), pa.array(sums[0]), pa.array(target), pa.nulls(no_word, pa.int64()),
                      pa.nulls(no_word, pa.bool_()), pa.nulls(no_word, pa.bool_())], ROW)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc"].take(pa.array(doc[rare])), pa.nulls(none, part["id"].type), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()),
-                     pa.nulls(none, pa.float64()), pa.array(flag[rare]), pa.array(word[rare].view(np.int64)), pa.array(first[rare]), pa.array(last[rare])], ROW)
+                     pa.nulls(none, pa.float64()), pa.array(word[rare].view(np.int64)), pa.array(first[rare]), pa.array(last[rare])], ROW)
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("doc", "id", "text", "good").mapInArrow(
-        run, f"doc long, id {kind}, n_tokens long, background double, target double, good boolean, word long, first boolean, last boolean")
+        run, f"doc long, id {kind}, n_tokens long, background double, target double, word long, first boolean, last boolean")
 
 
-ROW = ["doc", "id", "n_tokens", "background", "target", "good", "word", "first", "last"]
+ROW = ["doc", "id", "n_tokens", "background", "target", "word", "first", "last"]
 
 
 def document_bigrams(docs: DataFrame, bigrams: pa.Table, part: int) -> DataFrame:
-    """``doc``, ``good``, ``bigram``: a row for each bigram of a part in a text that is not on the list."""
+    """``doc``, ``bigram``: a row for each bigram of a part in a text that is not on the list."""
     shared = docs.sparkSession.sparkContext.broadcast(_arrays(bigrams.select(["bigram"])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (frequent,) = shared.value
+        frequent = Listed(shared.value[0])
         for batch in batches:
             for rows in slices(batch, "text", SLICE_BYTES):
                 words = words_of(rows["text"], lower_ascii=True)
                 at, bigram = _bigrams(word_hashes(words), _ends(words)[0])
                 mine = np.flatnonzero(_of_part(bigram, part))
-                mine = mine[~_found(frequent, bigram[mine])[1]]
+                mine = mine[~frequent.find(bigram[mine])[1]]
                 doc = np.repeat(np.arange(len(words.count)), words.count)[at[mine]]
-                of = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [rows["doc"].take(of), rows["good"].take(of), pa.array(bigram[mine].view(np.int64))], ["doc", "good", "bigram"])
+                yield pa.RecordBatch.from_arrays([rows["doc"].take(pa.array(doc)), pa.array(bigram[mine].view(np.int64))], ["doc", "bigram"])
 
-    return docs.select("doc", "text", "good").mapInArrow(run, "doc long, good boolean, bigram long")
+    return docs.select("doc", "text").mapInArrow(run, "doc long, bigram long")
 
 
 def _sums(rows: DataFrame, name: str, background: Column, target: Column) -> Saved:
@@ -297,8 +311,10 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, good: str = "qu
     small_batches(spark)
     rows = docs.select(column(docs, id_column).alias("id"), column(docs, text).alias("text"))
     chosen = labels.filter(good).select(column(labels, id_column).alias("id")).filter("id is not null").distinct()
-    # rows of one id and text share a key and a score
-    flagged = flag_good(rows, chosen).withColumn("doc", F.xxhash64("id", F.lit(0), "text"))
+    # rows of one id and text share a key and a score; the last bit of the key tells whether the document is good
+    key = F.xxhash64("id", F.lit(0), "text").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("good").cast("long"))
+    flagged = flag_good(rows, chosen).withColumn("doc", key)
+    is_good = F.col("doc").bitwiseAND(F.lit(1)) == 1
 
     words = Saved(count_words(flagged), "words", lean=True)
     total = words.df.agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.count(F.lit(1)).alias("words")).first()
@@ -318,16 +334,17 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, good: str = "qu
     found = Saved(document_words(flagged, often, listed, model), "documents", lean=True)
     n, of_good, after, good_after = map(F.col, ("n", "of_good", "after", "good_after"))
     rare = words.df.withColumnRenamed("good", "of_good").filter(n < word_bar)
-    met = found.df.filter(F.col("word").isNotNull()).select("doc", "good", "word", "first", "last").join(rare, "word")
+    met = found.df.filter(F.col("word").isNotNull()).select("doc", "word", "first", "last").repartition(tasks, "word").join(
+        rare.repartition(tasks, "word").hint("shuffle_hash"), "word")
     own, first, before = model.own(F.log, n, of_good), model.first(F.log, n, of_good), model.before(F.log, after, good_after)
     value = [F.when(F.col("first"), first[i]).otherwise(own[i]) + F.when(F.col("last"), 0.0).otherwise(before[i]) for i in range(3)]
-    sums = [_sums(met, "rare-words", value[0], F.when(F.col("good"), value[1]).otherwise(value[2]))]
+    sums = [_sums(met, "rare-words", value[0], F.when(is_good, value[1]).otherwise(value[2]))]
     words.discard()
     for part in range(PARTS):
         mine = F.pmod(F.shiftrightunsigned("bigram", _PART_SHIFT), F.lit(PARTS)) == part
         theirs = added.filter(mine & (F.col("n") < bar)).drop("n").repartition(tasks, "bigram")
         met = document_bigrams(flagged, listed, part).repartition(tasks, "bigram").join(theirs.hint("shuffle_hash"), "bigram")
-        target = F.when(F.col("good"), F.col("good_target")).otherwise(F.col("other_target"))
+        target = F.when(is_good, F.col("good_target")).otherwise(F.col("other_target"))
         sums.append(_sums(met, "rare-bigrams", F.col("background"), target))
     again.discard()
 

@@ -90,3 +90,25 @@ def test_good_documents_score_lower(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet").collect()
     mean = lambda q: sum(score[r["doc_id"]] for r in labels if r["quality"] == q) / sum(r["quality"] == q for r in labels)
     assert mean(1) < mean(0)
+
+
+def test_bigrams_that_come_once_are_in_no_saved_table(spark, documents, monkeypatch):
+    """Most bigrams of a corpus come once; a row for each would need several times the disk of the texts."""
+    from assayloom.llm import scoring
+
+    sizes = {}
+
+    class Counted(scoring.Saved):
+        def __init__(self, df, name, **options):
+            super().__init__(df, name, **options)
+            sizes[name] = max(sizes.get(name, 0), self.df.count())
+
+    monkeypatch.setattr(scoring, "Saved", Counted)
+    rows = [(i, " ".join(f"w{(i * 40 + j) % 41} v{i}" for j in range(20))) for i in range(40)] + [(100, "twice more twice more")]
+    assert len({p for _, t in rows for p in zip(t.split(), t.split()[1:])}) > 1500
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    check(documents(rows), labels, rows, {1, 2})
+    assert max(sizes.values()) < 250, sizes
+    # the same text and id twice, and copies under other ids
+    rows = [(1, "a b a b c"), (1, "a b a b c"), (2, "a b a b c"), (3, "a b"), (None, "c a b"), (None, "c a b")]
+    check(documents(rows), labels, rows, {1, 2}, frequent=1.0)
